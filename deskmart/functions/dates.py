@@ -70,8 +70,8 @@ def hour_boundaries(start: Column, end: Column) -> Column:
 
 
 def date_key(value: Column) -> Column:
-    """Integer ``yyyymmdd``."""
-    return (F.year(value) * 10000 + F.month(value) * 100 + F.dayofmonth(value)).cast("int")
+    """Integer ``yyyymmdd``; one reference to ``value``, so a pushed-down null test stays small."""
+    return F.date_format(value, "yyyyMMdd").cast("int")
 
 
 def monday_week(day: Column) -> Column:

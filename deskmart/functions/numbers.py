@@ -29,8 +29,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def one_decimal(value: Column) -> Column:
-    """Text with one decimal, halves away from zero, no thousands separator."""
-    return F.format_string("%.1f", F.round(value, 1))
+    """Text with one decimal, halves away from zero, no thousands separator; null stays null."""
+    return F.when(value.isNotNull(), F.format_string("%.1f", F.round(value, 1)))
 
 
 def hours_minutes(hours: Column) -> Column:

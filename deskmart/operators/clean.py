@@ -17,8 +17,14 @@ from deskmart.session import prepare
 _LABELS = ("category", "channel", "agent_name", "team")
 
 
+def present_cells(df: DataFrame) -> DataFrame:
+    """A1: cells spelling "missing" become null in every text column."""
+    return df.select(*(present(F.col(f"`{name}`"), F.col(f"`{name}`")).alias(name)
+                       if kind == "string" else F.col(f"`{name}`") for name, kind in df.dtypes))
+
+
 def prepare_cells(df: DataFrame) -> DataFrame:
-    """Cells spelling "missing" become null; all text but the description is stripped."""
+    """Missing cells become null; all text but the description is stripped."""
     def cell(name: str) -> Column:
         value = F.col(name)
         return present(value, value if name == "description" else strip(value)).alias(name)
@@ -26,8 +32,11 @@ def prepare_cells(df: DataFrame) -> DataFrame:
 
 
 def response_from_hours(created: Column, hours: Column) -> Column:
-    """Creation time plus a latency in hours, cut to the second."""
-    seconds = F.floor(to_number(hours) * 3600.0)
+    """Creation time plus a latency in hours, cut to the second.
+
+    Rounding to microseconds first keeps 2.3 h at 8280 s where binary fractions fall just short.
+    """
+    seconds = F.floor(F.round(to_number(hours) * 3600.0, 6))
     return F.timestamp_add("SECOND", seconds, created).cast("timestamp_ntz")
 
 

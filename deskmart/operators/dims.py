@@ -29,10 +29,10 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
 
 
 class Counted:
-    """A dimension and its row count.
+    """The distinct members of a dimension and their number.
 
-    The distinct set behind it is kept in memory: counting it costs nothing extra, because keys,
-    joins and reports then reuse it instead of scanning the tickets again.
+    The set is kept (memory, spilling to disk): counting it costs nothing extra, because keys and
+    joins then reuse it instead of scanning the tickets again.
     """
 
     def __init__(self, members: DataFrame):
