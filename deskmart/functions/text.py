@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from itertools import chain
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,15 +22,29 @@ _INNER_START = rf"(?<=[^ \p{{Lu}}\p{{Ll}}\p{{Lt}}])(?={_CASED})"
 _BREAK = "\ufdd0 "
 
 
-def present(value: Column, result: Column) -> Column:
-    """A1: ``result``, unless the cell spells "missing" (compared before any trimming)."""
-    return F.when(~value.isin(*NA_TOKENS), result)
+def quoted(values: Iterable[str]) -> str:
+    """SQL list of string literals. Long literal lists are cheaper to build as one SQL text than
+    as one driver call per literal."""
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+
+
+_NA_LIST = quoted(NA_TOKENS)
+
+
+def present(column: str) -> Column:
+    """A1: true unless the cell spells "missing" (compared before any trimming)."""
+    return F.expr(f"`{column}` not in ({_NA_LIST})")
 
 
 def strip(value: Column) -> Column:
-    """Cut white space of any kind at both ends; cells without any skip the character search."""
-    outer = F.left(value, F.lit(1)).isin(*WHITESPACE) | F.right(value, F.lit(1)).isin(*WHITESPACE)
-    return F.when(outer, F.btrim(value, F.lit(WHITESPACE))).otherwise(value)
+    """Cut white space of any kind at both ends.
+
+    Cells that begin and end with a visible ASCII character (byte order tells) are left alone
+    without searching the character list.
+    """
+    begins = (value >= "!") & (value < "\x7f")
+    ends = F.right(value, F.lit(1)).between("!", "~")
+    return F.when(begins & ends, value).otherwise(F.btrim(value, F.lit(WHITESPACE)))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -53,9 +66,8 @@ def tidy_label(value: Column) -> Column:
 
 
 def _canonical_spelling(value: Column, spellings: Mapping[str, Sequence[str]]) -> Column:
-    lookup = F.create_map(
-        *chain.from_iterable((F.lit(s), F.lit(name))
-                             for name, variants in spellings.items() for s in variants))
+    pairs = quoted(x for name, variants in spellings.items() for s in variants for x in (s, name))
+    lookup = F.expr(f"map({pairs})")
     known = F.try_element_at(lookup, F.lower(value))
     return F.coalesce(known, tidy_label(value))
 

@@ -19,7 +19,7 @@ _LABELS = ("category", "channel", "agent_name", "team")
 
 def present_cells(df: DataFrame) -> DataFrame:
     """A1: cells spelling "missing" become null in every text column."""
-    return df.select(*(present(F.col(f"`{name}`"), F.col(f"`{name}`")).alias(name)
+    return df.select(*(F.when(present(name), F.col(f"`{name}`")).alias(name)
                        if kind == "string" else F.col(f"`{name}`") for name, kind in df.dtypes))
 
 
@@ -27,7 +27,8 @@ def prepare_cells(df: DataFrame) -> DataFrame:
     """Missing cells become null; all text but the description is stripped."""
     def cell(name: str) -> Column:
         value = F.col(name)
-        return present(value, value if name == "description" else strip(value)).alias(name)
+        text = value if name == "description" else strip(value)
+        return F.when(present(name), text).alias(name)
     return df.select(*(cell(name) for name in df.columns))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from deskmart.functions.dates import date_key, hour_boundaries, seconds_between
 from deskmart.operators import dims
 from deskmart.operators.lookup import attach
 from deskmart.schemas import AGE_BANDS, FACT_SECONDS, OLDEST_BAND, RESOLVED_BAND, STAR_TABLES
-from deskmart.session import prepare
+from deskmart.session import prepare, side_by_side
 
 
 @dataclass(frozen=True)
@@ -90,10 +91,9 @@ def derive_measures(rows: DataFrame, as_of: datetime) -> DataFrame:
 def build_star(raw: DataFrame, as_of: datetime) -> Star:
     """Typed tickets to the star. Four members sets are counted, everything else stays lazy."""
     prepare(raw.sparkSession)
-    agent, agents = dims.dim_agent(raw)
-    category, categories = dims.dim_category(raw)
-    channel, channels = dims.dim_channel(raw)
-    priority, priorities = dims.dim_priority(raw)
+    counted = side_by_side(raw.sparkSession, [partial(make, raw) for make in (
+        dims.dim_agent, dims.dim_category, dims.dim_channel, dims.dim_priority)])
+    (agent, agents), (category, categories), (channel, channels), (priority, priorities) = counted
     rows = raw.drop("description").withColumns({
         "agent_name": dims.member("agent_name"), "team": dims.member("team"),
         "category_name": dims.member("category"), "channel_name": dims.member("channel"),

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 # Ticket times carry no zone, so date arithmetic must never meet a daylight-saving gap. Stages whose
 # generated method is too big for the JVM's JIT compiler run faster without whole-stage code.
@@ -33,3 +36,19 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="deskmart-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with few splits over all cores, ahead of per-row work.
+
+    A scan of a large table has more splits than the cluster has cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list:
+    """Run independent Spark jobs at the same time; small ones then fill gaps of large ones."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in
+                [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]

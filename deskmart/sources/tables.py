@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deskmart.operators.fact import Star, build_star
 from deskmart.schemas import FACT_SECONDS, RAW_TICKETS, STAR_TABLES
+from deskmart.session import side_by_side
 
 _TIME = "yyyy-MM-dd HH:mm:ss"
 PARTITION = "created_month"
 
-# Spark's CSV writer trims cells unless told not to. An empty text would read back as null, so it
-# is quoted.
+# Spark's CSV writer trims cells unless told not to.
 CSV_OUT = {
-    "header": True, "escape": '"', "emptyValue": '""', "timestampNTZFormat": _TIME,
+    "header": True, "escape": '"', "timestampNTZFormat": _TIME,
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
 
@@ -38,12 +39,13 @@ def write_star(star: Star, path: str) -> None:
     The fact is partitioned by creation month, so date slicers read matching months only. The
     rebalance hint lets adaptive execution size the files and split a month that holds most rows.
     """
-    for name, table in star.tables().items():
-        if name != "fact_tickets":
-            table.write.mode("overwrite").parquet(f"{path}/{name}")
     month = (F.col("created_date_key") / 100).cast("int").alias(PARTITION)
-    (star.fact.drop(PARTITION).select("*", month).hint("rebalance", PARTITION)
-     .write.mode("overwrite").partitionBy(PARTITION).parquet(f"{path}/fact_tickets"))
+    fact = star.fact.drop(PARTITION).select("*", month).hint("rebalance", PARTITION)
+    jobs = [partial(fact.write.mode("overwrite").partitionBy(PARTITION).parquet,
+                    f"{path}/fact_tickets")]
+    jobs += [partial(table.write.mode("overwrite").parquet, f"{path}/{name}")
+             for name, table in star.tables().items() if name != "fact_tickets"]
+    side_by_side(fact.sparkSession, jobs)
 
 
 def read_star(spark: SparkSession, path: str, as_of: datetime) -> Star:
@@ -58,9 +60,11 @@ def read_star(spark: SparkSession, path: str, as_of: datetime) -> Star:
 
 def export_csv(star: Star, path: str) -> None:
     """One CSV folder per table, with header; dimensions as a single file."""
+    jobs = []
     for name, table in star.tables().items():
         out = table if name == "fact_tickets" else table.coalesce(1)
-        out.write.mode("overwrite").options(**CSV_OUT).csv(f"{path}/{name}")
+        jobs.append(partial(out.write.mode("overwrite").options(**CSV_OUT).csv, f"{path}/{name}"))
+    side_by_side(star.fact.sparkSession, jobs)
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -12,16 +12,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskmart.functions.dates import to_second
-from deskmart.session import prepare
+from deskmart.session import prepare, spread_small
 
 # Fixed value: the clock at which the adapter's tickets are looked at.
 AS_OF = datetime(2024, 1, 31)
 
 TICKET_EVENTS = ("error", "signup", "view")
-_ORDER = "decimal(38,0)"
+
+# Only the columns used; given schemas spare a footer-reading job per table.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "part": "p_partkey bigint, p_type string",
+}
 # Events without a user form one group of their own. Two plain columns say so, because equality on
 # plain columns lets the optimizer see that the lookup is unique and drop it where it is not needed.
 _KEY = ("user", "named", "sec")
+# Position inside the second: microseconds first, then the event id.
+_RANK = ("cast(timestampdiff(MICROSECOND, sec, ts) as decimal(6,0)) * 10000000000000000000BD"
+         " + event_id")
 
 
 def _next_times(events: DataFrame) -> DataFrame:
@@ -48,78 +59,58 @@ def _next_times(events: DataFrame) -> DataFrame:
     )
 
 
-def _iso(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-
-
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ticket with the 13 canonical columns as text, plus ``event_id`` for ordering."""
     prepare(spark)
-    table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    second = to_second(F.col("ts"))
-    events = table("events").select(
-        "event_id", "event_type", "user_id", "value", second.alias("sec"),
-        F.coalesce("user_id", F.lit(0)).alias("user"), F.isnotnull("user_id").alias("named"),
-        # position inside the second: microseconds first, then the event id
-        (F.timestamp_diff("MICROSECOND", second, F.col("ts")).cast(_ORDER)
-         * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.col("event_id")).cast(_ORDER).alias("rank"),
-    )
+    events, supplier, nation, customer, part = (
+        spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+        for name, schema in _SCHEMAS.items())
+    events = events.withColumns({
+        "sec": to_second(F.col("ts")), "user": F.coalesce("user_id", F.lit(0)),
+        "named": F.isnotnull("user_id")}).withColumn("rank", F.expr(_RANK))
+    tickets = spread_small(events.where(F.col("event_type").isin(*TICKET_EVENTS)))
     # The remainders bound these keys, so at most 15 suppliers and 99 parts can ever match.
-    supplier = table("supplier").where(F.col("s_suppkey").between(-7, 7))
-    part = table("part").where(F.col("p_partkey").between(-49, 49))
-    nation = table("nation")
-    customer = table("customer")
-    tickets = events.where(F.col("event_type").isin(*TICKET_EVENTS))
-    following = _next_times(events)
+    supplier = F.broadcast(supplier.where("s_suppkey between -7 and 7"))
+    part = F.broadcast(part.where("p_partkey between -49 and 49"))
     joined = (
         tickets
-        .join(F.broadcast(supplier), F.col("s_suppkey") == F.col("user_id") % 8, "left")
-        .join(nation, F.col("n_nationkey") == F.col("s_nationkey"), "left")
-        .join(customer, F.col("c_custkey") == F.col("user_id"), "left")
-        .join(F.broadcast(part), F.col("p_partkey") == F.col("event_id") % 50, "left")
+        .join(supplier, F.expr("s_suppkey = user_id % 8"), "left")
+        .join(nation, F.expr("n_nationkey = s_nationkey"), "left")
+        .join(customer, F.expr("c_custkey = user_id"), "left")
+        .join(part, F.expr("p_partkey = event_id % 50"), "left")
         # last, so that plans without any time column drop this join altogether
-        .join(following, list(_KEY), "left")
-        .withColumn("click", F.when(F.col("last_click") > F.col("rank"), F.col("sec"))
-                    .otherwise(F.col("later_click")))
-        .withColumn("purchase", F.when(F.col("last_purchase") > F.col("rank"), F.col("sec"))
-                    .otherwise(F.col("later_purchase")))
-    )
-    return joined.select("event_id", *_messy_columns())
-
-
-def _messy_columns() -> list[Column]:
-    event, opened = F.col("event_id"), F.col("sec")
-    click, purchase = F.col("click"), F.col("purchase")
-    every = lambda n, rest=0: event % n == rest
-    solved = purchase.isNotNull()
-    created = (
-        F.when(every(701), "garbage")
-        .when(every(4, 2), F.date_format(opened, "MM/dd/yyyy HH:mm:ss"))
-        .when(every(4, 3), F.date_format(opened, "yyyy-MM-dd HH:mm"))
-        .otherwise(_iso(opened)))
-    resolved = F.when(every(499) & solved, "2023-12-25 00:00:00").otherwise(_iso(purchase))
-    status = (
-        F.when(solved, F.when(every(5), "closed").otherwise(" Solved "))
-        .when(click.isNotNull(), "In Progress").otherwise("new"))
-    # One priority spelling per remainder; remainder 8 has none.
-    spellings = ("P1", "urgent", " High ", "sev2", "Normal", "p3", "low", "planned")
-    priority = F.element_at(F.array(*map(F.lit, spellings), F.lit(None).cast("string")),
-                            (event % 9 + 1).cast("int"))
-    score = (
-        F.when(solved & ~every(3), (F.floor("value").cast("bigint") % 6).cast("string"))
-        .when(every(6), "n/a"))
-    return [
-        F.concat(F.lit("TCK-"), F.lpad(event.cast("string"), 8, "0")).alias("ticket_id"),
-        created.alias("created_at"),
-        resolved.alias("resolved_at"),
-        _iso(click).alias("first_response_at"),
-        status.alias("status"),
-        priority.alias("priority"),
-        F.when(~every(11), F.col("p_type")).alias("category"),
-        F.col("c_mktsegment").alias("channel"),
-        F.when(~every(17), F.col("s_name")).alias("agent_name"),
-        F.when(~every(13), F.col("n_name")).alias("team"),
-        score.alias("satisfaction_score"),
-        F.when(every(7), "1").when(~every(10), "0").alias("reopen_count"),
-        F.lit(None).cast("string").alias("description"),
-    ]
+        .join(_next_times(events), list(_KEY), "left"))
+    timed = joined.selectExpr(
+        "*", "case when last_click > rank then sec else later_click end as click",
+        "case when last_purchase > rank then sec else later_purchase end as purchase")
+    return timed.selectExpr("event_id", *_MESSY_COLUMNS)
+
+
+def _iso(column: str) -> str:
+    return f"date_format({column}, 'yyyy-MM-dd HH:mm:ss')"
+
+
+_MESSY_COLUMNS = (
+    "concat('TCK-', lpad(cast(event_id as string), 8, '0')) as ticket_id",
+    f"""case when event_id % 701 = 0 then 'garbage'
+             when event_id % 4 = 2 then date_format(sec, 'MM/dd/yyyy HH:mm:ss')
+             when event_id % 4 = 3 then date_format(sec, 'yyyy-MM-dd HH:mm')
+             else {_iso('sec')} end as created_at""",
+    f"""case when event_id % 499 = 0 and purchase is not null then '2023-12-25 00:00:00'
+             else {_iso('purchase')} end as resolved_at""",
+    f"{_iso('click')} as first_response_at",
+    """case when purchase is not null then case when event_id % 5 = 0 then 'closed' else ' Solved ' end
+            when click is not null then 'In Progress' else 'new' end as status""",
+    """case event_id % 9 when 0 then 'P1' when 1 then 'urgent' when 2 then ' High ' when 3 then 'sev2'
+            when 4 then 'Normal' when 5 then 'p3' when 6 then 'low' when 7 then 'planned' end
+       as priority""",
+    "case when event_id % 11 <> 0 then p_type end as category",
+    "c_mktsegment as channel",
+    "case when event_id % 17 <> 0 then s_name end as agent_name",
+    "case when event_id % 13 <> 0 then n_name end as team",
+    """case when purchase is not null and event_id % 3 <> 0
+                then cast(cast(floor(value) as bigint) % 6 as string)
+            when event_id % 6 = 0 then 'n/a' end as satisfaction_score""",
+    "case when event_id % 7 = 0 then '1' when event_id % 10 <> 0 then '0' end as reopen_count",
+    "cast(null as string) as description",
+)
