@@ -27,6 +27,7 @@ _US_DAY = r"^\d{1,2}/\d{1,2}/\d{2,4}"
 
 # Longer texts are counted by digest, so that a shuffle moves 65 characters instead of a document.
 _DIGEST_OVER = 64
+_BUCKETS = 1024
 DATE_FORMATS = ("iso", "us", "other", "empty")
 
 
@@ -133,18 +134,28 @@ def date_formats(df: DataFrame, stats: DataFrame | None = None,
 def first_values(df: DataFrame, limit: int, columns: Sequence[str] | None = None) -> DataFrame:
     """First ``limit`` non-null values per column in (file block, line) order.
 
-    Counts per block tell which blocks hold them: at most ``limit`` blocks per column, because each
-    chosen block contributes at least one value. Only those blocks are read for values, and each is
-    cut to ``limit`` values before the blocks of a column come together.
+    Each block with a value contributes at least one, so the first ``limit`` such blocks of a
+    column hold all that is wanted. They are found in two steps, within buckets and then among the
+    winners, so that no task sorts all blocks of a column. Only those blocks are read for values.
     """
     columns = list(columns or profiled_columns(df))
     values = _long(df, columns).where(F.col("value").isNotNull())
     sizes = values.groupBy("column_name", BLOCK).agg(F.count(F.lit(1)).alias("n"))
+
+    def first_blocks(blocks: DataFrame, *group: str) -> DataFrame:
+        by_block = Window.partitionBy(*group).orderBy(BLOCK)
+        return blocks.withColumn("rank", F.row_number().over(by_block)).where(
+            F.col("rank") <= limit).drop("rank")
+
+    bucketed = sizes.withColumn("bucket", F.pmod(F.xxhash64(BLOCK), F.lit(_BUCKETS)))
+    needed = first_blocks(first_blocks(bucketed, "column_name", "bucket"), "column_name")
     earlier = Window.partitionBy("column_name").orderBy(BLOCK).rowsBetween(
         Window.unboundedPreceding, -1)
-    needed = sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).where(
-        F.col("before") < limit).select("column_name", BLOCK, "before")
+    needed = needed.select(
+        "column_name", BLOCK, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    ).where(F.col("before") < limit)
     inside = Window.partitionBy("column_name", BLOCK).orderBy(LINE)
+    # at most ``limit`` rows per column, hence small enough to broadcast
     chosen = values.join(F.broadcast(needed), ["column_name", BLOCK]).withColumn(
         "rank", F.row_number().over(inside)).where(F.col("rank") <= limit)
     return chosen.withColumn("ordinal", (F.col("before") + F.col("rank")).cast("int")).where(
