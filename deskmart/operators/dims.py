@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -28,45 +29,47 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in STAR_TABLES[table]))
 
 
+@dataclass(frozen=True)
 class Counted:
-    """The distinct members of a dimension and their number.
+    """A keyed dimension, its number of rows, and the cached member set behind it."""
 
-    The set is kept (memory, spilling to disk): counting it costs nothing extra, because keys and
-    joins then reuse it instead of scanning the tickets again.
-    """
+    table: DataFrame
+    rows: int
+    members: DataFrame
 
-    def __init__(self, members: DataFrame):
-        self.members = members.persist()
-        self.rows = self.members.count()
 
-    def keyed(self, table: str, key: str, *order: Column) -> DataFrame:
-        return _conform(dense_keys(self.members, order, key, self.rows), table)
+def _numbered(members: DataFrame, table: str, key: str, *order: Column) -> Counted:
+    """The set is kept (memory, spilling to disk): counting it costs nothing extra, because keys
+    and joins then reuse it instead of scanning the tickets again."""
+    members = members.persist()
+    rows = members.count()
+    return Counted(_conform(dense_keys(members, order, key, rows), table), rows, members)
 
 
-def dim_agent(raw: DataFrame) -> tuple[DataFrame, int]:
-    found = Counted(_members(raw, agent_name="agent_name", team="team"))
-    return found.keyed("dim_agent", "agent_key", F.col("agent_name"), F.col("team")), found.rows
+def dim_agent(raw: DataFrame) -> Counted:
+    found = _members(raw, agent_name="agent_name", team="team")
+    return _numbered(found, "dim_agent", "agent_key", F.col("agent_name"), F.col("team"))
 
 
-def dim_category(raw: DataFrame) -> tuple[DataFrame, int]:
-    found = Counted(_members(raw, category_name="category"))
-    return found.keyed("dim_category", "category_key", F.col("category_name")), found.rows
+def dim_category(raw: DataFrame) -> Counted:
+    found = _members(raw, category_name="category")
+    return _numbered(found, "dim_category", "category_key", F.col("category_name"))
 
 
-def dim_channel(raw: DataFrame) -> tuple[DataFrame, int]:
-    found = Counted(_members(raw, channel_name="channel"))
-    return found.keyed("dim_channel", "channel_key", F.col("channel_name")), found.rows
+def dim_channel(raw: DataFrame) -> Counted:
+    found = _members(raw, channel_name="channel")
+    return _numbered(found, "dim_channel", "channel_key", F.col("channel_name"))
 
 
-def dim_priority(raw: DataFrame) -> tuple[DataFrame, int]:
+def dim_priority(raw: DataFrame) -> Counted:
     """Most urgent first; members outside the SLA table come last, by name."""
     name = F.col("priority_name")
     rank, hours = F.lit(len(SLA_HOURS) + 1), F.lit(DEFAULT_SLA_HOURS)
     for position, (level, target) in enumerate(SLA_HOURS.items(), start=1):
         rank = F.when(name == level, position).otherwise(rank)
         hours = F.when(name == level, target).otherwise(hours)
-    found = Counted(_members(raw, priority_name="priority").withColumn("sla_target_hours", hours))
-    return found.keyed("dim_priority", "priority_key", rank, name), found.rows
+    found = _members(raw, priority_name="priority").withColumn("sla_target_hours", hours)
+    return _numbered(found, "dim_priority", "priority_key", rank, name)
 
 
 def dim_calendar(raw: DataFrame, as_of: datetime) -> DataFrame:

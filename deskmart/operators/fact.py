@@ -27,6 +27,12 @@ class Star:
     priority: DataFrame
     calendar: DataFrame
     as_of: datetime
+    kept: tuple[DataFrame, ...] = ()  # cached member sets of a lazily built star
+
+    def release(self) -> None:
+        """Drop the cached member sets, once the star has been written."""
+        for members in self.kept:
+            members.unpersist()
 
     def tables(self) -> dict[str, DataFrame]:
         """The six tables in their exported layout."""
@@ -93,7 +99,8 @@ def build_star(raw: DataFrame, as_of: datetime) -> Star:
     prepare(raw.sparkSession)
     counted = side_by_side(raw.sparkSession, [partial(make, raw) for make in (
         dims.dim_agent, dims.dim_category, dims.dim_channel, dims.dim_priority)])
-    (agent, agents), (category, categories), (channel, channels), (priority, priorities) = counted
+    agent, category, channel, priority = (c.table for c in counted)
+    agents, categories, channels, priorities = (c.rows for c in counted)
     rows = raw.drop("description").withColumns({
         "agent_name": dims.member("agent_name"), "team": dims.member("team"),
         "category_name": dims.member("category"), "channel_name": dims.member("channel"),
@@ -106,4 +113,5 @@ def build_star(raw: DataFrame, as_of: datetime) -> Star:
     fields = {f.name: f.dataType for f in STAR_TABLES["fact_tickets"]}
     fact = derive_measures(rows, as_of).select(
         *(F.col(name).cast(kind).alias(name) for name, kind in fields.items()), *FACT_SECONDS)
-    return Star(fact, agent, category, channel, priority, dims.dim_calendar(raw, as_of), as_of)
+    return Star(fact, agent, category, channel, priority, dims.dim_calendar(raw, as_of), as_of,
+                tuple(c.members for c in counted))

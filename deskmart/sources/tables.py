@@ -83,5 +83,7 @@ def build_tables(tickets: DataFrame, path: str, as_of: datetime) -> tuple[DataFr
     spark = tickets.sparkSession
     write_raw(tickets, f"{path}/raw_tickets")
     raw = read_raw(spark, f"{path}/raw_tickets")
-    write_star(build_star(raw, as_of), path)
+    star = build_star(raw, as_of)
+    write_star(star, path)
+    star.release()
     return raw, read_star(spark, path, as_of)
