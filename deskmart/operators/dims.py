@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmart.functions.dates import date_key, monday_week
+from deskmart.operators.lookup import ROW_OVERHEAD
 from deskmart.operators.ordinals import dense_keys
 from deskmart.schemas import (
     CALENDAR_LOOKAHEAD_DAYS, DEFAULT_SLA_HOURS, PLACEHOLDERS, SLA_HOURS, STAR_TABLES,
@@ -31,19 +32,21 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Counted:
-    """A keyed dimension, its number of rows, and the cached member set behind it."""
+    """A keyed dimension, the measured size of its text, and the cached member set behind it."""
 
     table: DataFrame
-    rows: int
+    bytes: int
     members: DataFrame
 
 
 def _numbered(members: DataFrame, table: str, key: str, *order: Column) -> Counted:
-    """The set is kept (memory, spilling to disk): counting it costs nothing extra, because keys
+    """The set is kept (memory, spilling to disk): measuring it costs nothing extra, because keys
     and joins then reuse it instead of scanning the tickets again."""
     members = members.persist()
-    rows = members.count()
-    return Counted(_conform(dense_keys(members, order, key, rows), table), rows, members)
+    text = sum((F.octet_length(name) for name, kind in members.dtypes if kind == "string"),
+               F.lit(ROW_OVERHEAD))
+    rows, size = members.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).head()
+    return Counted(_conform(dense_keys(members, order, key, rows), table), size, members)
 
 
 def dim_agent(raw: DataFrame) -> Counted:

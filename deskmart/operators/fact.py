@@ -95,12 +95,12 @@ def derive_measures(rows: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def build_star(raw: DataFrame, as_of: datetime) -> Star:
-    """Typed tickets to the star. Four members sets are counted, everything else stays lazy."""
+    """Typed tickets to the star. Four member sets are measured, everything else stays lazy."""
     prepare(raw.sparkSession)
     counted = side_by_side(raw.sparkSession, [partial(make, raw) for make in (
         dims.dim_agent, dims.dim_category, dims.dim_channel, dims.dim_priority)])
     agent, category, channel, priority = (c.table for c in counted)
-    agents, categories, channels, priorities = (c.rows for c in counted)
+    agents, categories, channels, priorities = (c.bytes for c in counted)
     rows = raw.drop("description").withColumns({
         "agent_name": dims.member("agent_name"), "team": dims.member("team"),
         "category_name": dims.member("category"), "channel_name": dims.member("channel"),

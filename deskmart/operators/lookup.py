@@ -7,22 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions up to this many rows (short names and integers: some tens of MB) are broadcast.
-BROADCAST_ROWS = 500_000
+# Dimensions up to this measured size (text plus an overhead per row) are broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 64
 # Beyond it no reducer should receive more than 1/SHARES of the rows because of a single member.
 SHARES = 20_000
 
 
 def attach(rows: DataFrame, dim: DataFrame, on: Sequence[str], size: int,
            limit: int | None = None, shares: int = SHARES) -> DataFrame:
-    """Left join ``rows`` to ``dim`` (unique on ``on``); ``size`` is the counted rows of ``dim``.
+    """Left join ``rows`` to ``dim`` (unique on ``on``); ``size`` is its measured bytes.
 
-    A counted-small dimension is broadcast. A larger one is joined by shuffle with hot members
+    A dimension known to be small is broadcast. A larger one is joined by shuffle with hot members
     split: a member holding a share s of all rows gets ceil(s * SHARES) copies, and its rows are
     spread over them. At most SHARES members can be hot, and at most 2 * SHARES copies exist.
     """
     on = list(on)
-    limit = BROADCAST_ROWS if limit is None else limit
+    limit = BROADCAST_BYTES if limit is None else limit
     if size <= limit:
         return rows.join(F.broadcast(dim), on, "left")
     counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))

@@ -22,6 +22,11 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type -> type name on the SQL side
+_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+          "boolean": "BOOLEAN"}
+
+
 def _value(v):
     return None if isinstance(v, float) and math.isnan(v) else v
 
@@ -42,7 +47,12 @@ def compare(spark: SparkSession, con, name: str, sf_dir: str) -> str | None:
     result = con.execute(expected)
     columns = [d[0] for d in result.description]
     want = result.fetchall()
-    if sorted(columns) != sorted(got.columns):
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    if sorted(columns) == sorted(got.columns):
+        differing = {c: (k, kinds[c]) for c, k in got.dtypes if _TYPES.get(k) != kinds[c]}
+        if differing:
+            return f"column types {differing}"
+    else:
         return f"columns {sorted(got.columns)} instead of {sorted(columns)}"
     a, b = _rows(got.columns, rows), _rows(columns, want)
     if len(a) != len(b):

@@ -97,9 +97,9 @@ def comparable(df: DataFrame) -> DataFrame:
 
 # --- A: sources and sinks ----------------------------------------------------------------------------
 
-# The adapter's tickets as a directory of three CSV layouts: canonical headers; synonyms without
-# team and description; no creation time at all (never usable).
-_LAYOUT = "event_id % 5"
+# The adapter's tickets as a directory of three CSV layouts: even event ids under canonical headers,
+# odd ones under synonyms without team and description, and all of them once more without any
+# creation time, which makes that layout unusable.
 _SYNONYM_HEADERS = {
     "event_id": "Event No", "ticket_id": "Ticket ID", "created_at": "Open Date",
     "resolved_at": "closed-at", "first_response_at": "First Reply", "status": "State",
@@ -109,11 +109,10 @@ _SYNONYM_HEADERS = {
 
 
 def _write_csvs(tickets: DataFrame, folder: str) -> None:
-    canonical = tickets.where(f"{_LAYOUT} in (0, 1)")
-    synonyms = tickets.where(f"{_LAYOUT} in (2, 3)").select(
+    canonical = tickets.where("event_id % 2 = 0")
+    synonyms = tickets.where("event_id % 2 = 1").select(
         *(F.col(c).alias(h) for c, h in _SYNONYM_HEADERS.items()))
-    unusable = tickets.where(f"{_LAYOUT} = 4").select(
-        "event_id", F.col("ticket_id").alias("id"), "status", "priority")
+    unusable = tickets.select("event_id", F.col("ticket_id").alias("id"), "status", "priority")
     for part in (canonical, synonyms, unusable):
         part.write.mode("append").options(**tables.CSV_OUT).csv(folder)
 
@@ -126,15 +125,14 @@ def ingested(spark: SparkSession, sf_dir: str) -> csv_ingest.Ingested:
 
 _ABSENT = {"team", "description"}  # in the second layout
 _CSV_CELLS = ", ".join(
-    f"case when event_id % 5 in (2, 3) then null else {c} end as {c}" if c in _ABSENT else c
+    f"case when event_id % 2 = 1 then null else {c} end as {c}" if c in _ABSENT else c
     for c in sql.TEXT_COLUMNS)
 _NA_CELLS = ", ".join(f"case when {c} not in ({sql.quoted(sql.NA_TOKENS)}) then {c} end as {c}"
                       for c in sql.TEXT_COLUMNS)
 
 
 @register("a1_csv_scan", sql.from_source(
-    f"select event_id, {_NA_CELLS} from (select event_id, {_CSV_CELLS} from src "
-    "where event_id % 5 <> 4)"))
+    f"select event_id, {_NA_CELLS} from (select event_id, {_CSV_CELLS} from src)"))
 def a1_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1, A3, A5: every cell of the usable files, missing tokens as null."""
     frame = ingested(spark, sf_dir).frame
@@ -142,9 +140,11 @@ def a1_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present_cells(frame.select(event, *CANONICAL))
 
 
-_MAPPED = [("event_id % 5 in (0, 1)", c, c) for c in CANONICAL] + [
-    ("event_id % 5 in (2, 3)", h, c) for c, h in _SYNONYM_HEADERS.items() if c != "event_id"] + [
-    ("event_id % 5 = 4", h, c) for h, c in
+# (rows of the layout, header, canonical column)
+_MAPPED = [("event_id % 2 = 0", c, c) for c in CANONICAL] + [
+    ("event_id % 2 = 1", h, c) for h, c in
+    ((h, c) for c, h in _SYNONYM_HEADERS.items() if c != "event_id")] + [
+    ("true", h, c) for h, c in
     (("id", "ticket_id"), ("status", "status"), ("priority", "priority"))]
 
 
@@ -158,7 +158,8 @@ def a2_header_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("a3_file_eligibility", sql.from_source(
-    "select event_id % 5 <> 4 as included, cast(count(*) as bigint) as n from src group by 1"))
+    "select included, cast(count(*) as bigint) as n from src, (values (true), (false)) v(included) "
+    "group by 1"))
 def a3_file_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: rows in usable and in skipped files."""
     return csv_ingest.file_summary(ingested(spark, sf_dir)).groupBy("included").agg(
@@ -167,7 +168,7 @@ def a3_file_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a4_lineage", sql.from_source(
     "select cast(count(*) as bigint) as traced, cast(count(distinct event_id) as bigint) as tickets "
-    "from src where event_id % 5 <> 4"))
+    "from src"))
 def a4_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: every row names a file that the directory listing knows."""
     found = ingested(spark, sf_dir)
@@ -181,7 +182,7 @@ def a4_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a5_union_by_name", sql.from_source("select " + ", ".join(
     f"cast(count({c}) as bigint) as {c}" for c in sql.TEXT_COLUMNS)
-    + f" from (select {_CSV_CELLS} from src where event_id % 5 <> 4)"))
+    + f" from (select {_CSV_CELLS} from src)"))
 def a5_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: filled cells per canonical column; a column absent from a layout is null there."""
     frame = ingested(spark, sf_dir).frame
@@ -195,9 +196,8 @@ _RAW_REST = ("status, priority, category, channel, agent_name, team, "
 
 @register("a6_canonical_projection", sql.from_raw(
     f"select ticket_id, {_RAW_TIMES}, status, priority, category, channel, agent_name, "
-    "case when event_id % 5 in (0, 1) then team end as team, "
-    "round(satisfaction_score, 6) as satisfaction_score, reopen_count, description "
-    "from raw where event_id % 5 <> 4"))
+    "case when event_id % 2 = 0 then team end as team, "
+    "round(satisfaction_score, 6) as satisfaction_score, reopen_count, description from raw"))
 def a6_canonical_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6 with A1-A5 and B1-B11: the CSV directory as typed canonical tickets."""
     return comparable(csv_ingest.load_tickets(ingested(spark, sf_dir)))
@@ -443,12 +443,10 @@ def _per_column(select: Callable[[str], str], columns=_PROFILED) -> str:
 
 
 @register("c1_file_summary", sql.from_source(
-    "select included, mapped_columns, reason, cast(count(*) as bigint) as n from ("
-    "select event_id % 5 <> 4 as included, "
-    "cast(case when event_id % 5 in (0, 1) then 13 when event_id % 5 = 4 then 3 else 11 end "
-    "as integer) as mapped_columns, case when event_id % 5 = 4 then "
-    "'no `created_at` could be inferred from headers' else 'OK' end as reason from src) "
-    "group by all"))
+    "select true as included, cast(case when event_id % 2 = 0 then 13 else 11 end as integer) "
+    "as mapped_columns, 'OK' as reason, cast(count(*) as bigint) as n from src group by all "
+    "union all select false, cast(3 as integer), "
+    "'no `created_at` could be inferred from headers', cast(count(*) as bigint) from src"))
 def c1_file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 summed over files of one layout (file names differ from run to run)."""
     return csv_ingest.file_summary(ingested(spark, sf_dir)).groupBy(
@@ -456,16 +454,15 @@ def c1_file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("c2_header_mapping", sql.from_source(
-    "select cast(count(distinct event_id % 5 in (0, 1)) as bigint) as layouts_with_created, "
-    "cast(13 + 11 as bigint) as mapped from src where event_id % 5 <> 4"))
+    "select raw_header, canonical, cast(sum(n) as bigint) as n from (" + " union all ".join(
+        f"select '{h}' as raw_header, '{c}' as canonical, count(*) as n from src where {w}"
+        for w, h, c in _MAPPED) + ") group by 1, 2"))
 def c2_header_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapped headers over the usable layouts."""
-    mapping = csv_ingest.header_mapping(ingested(spark, sf_dir))
-    usable = mapping.where("canonical = 'created_at'").select("file")
-    distinct = mapping.join(usable, "file", "left_semi").select(
-        "raw_header", "canonical").distinct()
-    return distinct.agg(F.count_if(F.col("canonical") == "created_at")
-                        .alias("layouts_with_created"), F.count(F.lit(1)).alias("mapped"))
+    """Each mapped header with the rows of the files it was found in."""
+    found = ingested(spark, sf_dir)
+    sizes = csv_ingest.file_summary(found).select("file", "rows")
+    return csv_ingest.header_mapping(found).join(sizes, "file").groupBy(
+        "raw_header", "canonical").agg(F.sum("rows").alias("n"))
 
 
 @register("c3_null_counts", _per_column(
