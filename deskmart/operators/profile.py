@@ -59,12 +59,16 @@ def _date_counts(weight: Column, shape: Column) -> list[Column]:
             for name in DATE_FORMATS]
 
 
-def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
+                 approximate: bool = False) -> DataFrame:
     """One row per column: nulls, distinct values, type votes, numbers and date shapes.
 
     Counting is two-phase: (column, value) pairs first, with a map-side partial count that absorbs
     frequent values, then columns. This is exact and needs one shuffle of the distinct values,
     where several ``count_distinct`` in one aggregate would multiply every row.
+
+    ``approximate`` estimates the distinct counts (everything else stays exact) in a single
+    aggregate whose shuffle is one row per column and task.
     """
     columns = list(columns or profiled_columns(df))
     value, n = F.col("value"), F.col("n")
@@ -72,17 +76,26 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     long_text = (F.length(value) > _DIGEST_OVER) & number.isNull() & ~value.rlike(_ISO_DAY) \
         & ~value.rlike(_US_DAY)
     key = F.when(long_text, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(value)
-    counted = _long(df, columns).select("column_name", key.alias("value")).groupBy(
-        "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    if approximate:
+        counted = _long(df, columns).select(
+            "column_name", "value", F.lit(1).cast("bigint").alias("n"))
+        distinct = F.approx_count_distinct(value)
+    else:
+        counted = _long(df, columns).select("column_name", key.alias("value")).groupBy(
+            "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+        distinct = F.count(value)
+    # a column of a frame without rows still gets its line of zeros
+    every = df.sparkSession.createDataFrame(
+        [(c, None, 0) for c in columns], "column_name string, value string, n bigint")
     shape = F.col("shape")
-    stats = counted.select(
+    stats = counted.unionByName(every).select(
         "column_name", "value", "n", number.alias("number"), date_shape(value).alias("shape"),
         strip(value).rlike(r"^[+-]?\d{1,18}$").alias("whole"),
         F.lower(strip(value)).isin("true", "false").alias("truth"),
     ).groupBy("column_name").agg(
         F.sum("n").alias("total"),
         F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("nulls"),
-        F.count(value).alias("distinct_values"),
+        distinct.alias("distinct_values"),
         F.bool_and("whole").alias("all_whole"),
         F.bool_and(F.when(value.isNotNull(), F.col("number").isNotNull())).alias("all_numeric"),
         F.bool_and("truth").alias("all_truth"),
@@ -195,14 +208,17 @@ def _issue(rule: str, broken: Column, detail: Column) -> Column:
     return F.when(broken, F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail")))
 
 
-def totals(df: DataFrame) -> DataFrame:
+def totals(df: DataFrame, files: int | None = None) -> DataFrame:
     """Files, rows, columns, and which canonical columns are there.
 
-    ``_source_file`` has one value per file, so its distinct count is tiny; it is pre-aggregated.
+    ``files`` is the number of files found, skipped ones included; without it, files with rows
+    count, from one pre-aggregated row per file.
     """
     columns = profiled_columns(df)
     per_file = df.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("total")).select(
-        "files", "total", F.lit(len(columns)).alias("columns"),
+    return per_file.agg(F.count(F.lit(1)).alias("files"),
+                        F.coalesce(F.sum("n"), F.lit(0)).alias("total")).select(
+        "files" if files is None else F.lit(files).cast("bigint").alias("files"), "total",
+        F.lit(len(columns)).alias("columns"),
         F.lit(",".join(c for c in CANONICAL if c in columns)).alias("present"),
         F.lit(",".join(c for c in CANONICAL if c not in columns)).alias("absent"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from operator import ge, le
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,12 +56,11 @@ class FilterContext:
     def _between(self, fact: DataFrame, calendar: DataFrame) -> DataFrame:
         """The key range reaches the scan; the calendar decides which dates exist."""
         days = calendar.select(F.col("date_key").alias("created_date_key"), "date")
-        for limit, column_test in ((self.date_from, "ge"), (self.date_to, "le")):
+        for limit, within in ((self.date_from, ge), (self.date_to, le)):
             if limit is None:
                 continue
-            compare = (lambda c, v: c >= v) if column_test == "ge" else (lambda c, v: c <= v)
-            days = days.where(compare(F.col("date"), F.lit(limit)))
-            fact = fact.where(compare(F.col("created_date_key"), _key(limit)))
+            days = days.where(within(F.col("date"), F.lit(limit)))
+            fact = fact.where(within(F.col("created_date_key"), _key(limit)))
             if "created_month" in fact.columns:  # partition column of a written star
-                fact = fact.where(compare(F.col("created_month"), _key(limit) // 100))
+                fact = fact.where(within(F.col("created_month"), _key(limit) // 100))
         return fact.join(days.select("created_date_key"), "created_date_key", "left_semi")

@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmart.functions.dates import as_text, parse_datetime, to_second
+from deskmart.functions.dates import as_text, parse_datetime
 from deskmart.functions.numbers import to_count, to_number
 from deskmart.functions.text import strip, tidy_label, tidy_priority, tidy_status
 from deskmart.operators import checks, profile
@@ -656,9 +656,10 @@ register("f5_row_parity", sql.from_star(
 register("f6_all_checks", sql.from_star(
     "select n as \"check\", label, value, case when n = 3 then 'INFO' when value = 0 then 'PASS' "
     "else 'FAIL' end as status from ("
-    f"select 1 as n, 'facts without a calendar date' as label, cast(count(*) filter (where {_BAD_DATES}) "
-    "as bigint) as value from fact "
-    "union all select 2, 'facts without an agent', cast(count(*) filter (where agent_key is null) as bigint) from fact "
+    "select 1 as n, 'facts without a calendar date' as label, "
+    f"cast(count(*) filter (where {_BAD_DATES}) as bigint) as value from fact "
+    "union all select 2, 'facts without an agent', "
+    "cast(count(*) filter (where agent_key is null) as bigint) from fact "
     "union all select 3, 'breached tickets', cast(sum(sla_breached) as bigint) from fact "
     "union all select 4, 'negative resolution hours', "
     "cast(count(*) filter (where resolution_hours < 0) as bigint) from fact "
