@@ -1,8 +1,8 @@
 """Every operator as a query over the driver tables, next to its expected-result SQL.
 
 ``CASES`` maps a key to ``(callable, sql or None)``. Reports and star tables read a star that is
-built once per session and state of the input files, and written below ``spark.checkpoint.dir``;
-the reference works the same way, with every report reading tables that one build has written.
+built once per session and state of the input files, and written below ``spark.checkpoint.dir``, as
+a dashboard reads the tables of the latest build.
 """
 
 from __future__ import annotations
