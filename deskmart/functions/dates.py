@@ -19,7 +19,9 @@ _NTZ = "timestamp_ntz"
 YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?$"
 YEAR_LAST = (r"^(\d{1,2})([/.-])(\d{1,2})\2(\d{4})"
              r"( \d{1,2}:\d{1,2}(?::\d{1,2})?)?$")
-ZONED = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:[\d.]+ ?(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})$"
+_ZONE = r"(Z|UTC|GMT|[+-]\d{2}:?\d{2})$"
+ZONED = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}(?::[\d.]+)? ?" + _ZONE
+ZONED_MINUTE = r"^(\S+[T ]\d{1,2}:\d{1,2}) ?" + _ZONE
 WORDY = (r"(?i)^(?:\d{8}|\d{4}/.*|.*\d ?[ap]m|\d{1,2}/\d{1,2}/\d{2}( .*)?"
          r"|.*(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec).*)$")
 
@@ -47,7 +49,8 @@ def parse_datetime(text: Column) -> Column:
     month_first = _ntz(F.regexp_replace(text, YEAR_LAST, "$4-$1-$3$5"))
     day_first = _ntz(F.regexp_replace(text, YEAR_LAST, "$4-$3-$1$5"))
     wordy = F.coalesce(*(F.try_to_timestamp(text, F.lit(p)) for p in WORDY_PATTERNS))
-    instant = (F.when(text.rlike(ZONED), F.date_trunc("second", text.try_cast("timestamp")))
+    zoned = F.regexp_replace(text, ZONED_MINUTE, "$1:00$2").try_cast("timestamp")
+    instant = (F.when(text.rlike(ZONED), F.date_trunc("second", zoned))
                .when(text.rlike(WORDY), wordy))
     return (
         F.when(text.rlike(YEAR_FIRST), year_first)

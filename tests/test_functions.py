@@ -29,6 +29,10 @@ PARSED = {
     "2024/3/2 9:04": datetime(2024, 3, 2, 9, 4),
     "2024-03-12T09:14:00Z": datetime(2024, 3, 12, 9, 14),
     "2024-03-12T09:14:00+05:30": datetime(2024, 3, 12, 3, 44),
+    "2024-03-12T09:14Z": datetime(2024, 3, 12, 9, 14),
+    "2024-03-12 09:14 UTC": datetime(2024, 3, 12, 9, 14),
+    "2024-03-12 09:14-0300": datetime(2024, 3, 12, 12, 14),
+    "2024-03-12 09:14:04.9 +01:00": datetime(2024, 3, 12, 8, 14, 4),
     "2024-03-12 09:14:04.9": datetime(2024, 3, 12, 9, 14, 4),
     "12-Mar-2024": datetime(2024, 3, 12),
     "Mar 12, 2024": datetime(2024, 3, 12),
