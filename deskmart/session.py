@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -25,16 +24,13 @@ def prepare(spark: SparkSession) -> None:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint directory.
+    """A fresh folder below the cluster's shared checkpoint directory, which executors must see.
 
-    Executors on other machines must see it, so a local temporary folder is used only when the
-    session itself runs in local mode and names no directory.
+    That is the setting ``spark.checkpoint.dir`` or, without it, the context's checkpoint directory.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="deskmart-")
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
