@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmart.llm import feistel_shards, line_quality, qda, redirects, secret_ledger
+from deskmart.llm import (
+    bag_minhash, feistel_shards, line_quality, mixing, qda, redirects, secret_ledger, string_tiling)
 from deskmart.session import new_folder
 
 # Fixed rules of the contract
@@ -24,10 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_tiling.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_schedule(table(spark, sf_dir, "documents"))
+
+
+def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.classify_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = secret_ledger.Ledger(spark, new_folder(spark, "ledger"))
     return secret_ledger.scan_documents(table(spark, sf_dir, "documents"), ledger)
@@ -50,7 +63,7 @@ def op10_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_line_frequency, op7_secret_ledger, op8_feistel_shards, op9_redirect_groups,
+        op1_string_tiling, op2_line_frequency, op4_temperature_mix, op6_bag_minhash, op7_secret_ledger, op8_feistel_shards, op9_redirect_groups,
         op10_quadratic_discriminant)
 }
 ORACLE_SQL: dict[str, str] = {}
