@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskmart.llm import (
-    bag_minhash, feistel_shards, line_quality, mixing, qda, redirects, secret_ledger, string_tiling)
+    bag_minhash, feistel_shards, fuzzy_lines, line_quality, mixing, qda, redirects, secret_ledger,
+    sparse_suffixes, string_tiling)
 from deskmart.session import new_folder
 
 # Fixed rules of the contract
@@ -33,10 +34,18 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sparse_suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_schedule(table(spark, sf_dir, "documents"))
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.classify_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.classify_near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -63,7 +72,7 @@ def op10_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_string_tiling, op2_line_frequency, op4_temperature_mix, op6_bag_minhash, op7_secret_ledger, op8_feistel_shards, op9_redirect_groups,
-        op10_quadratic_discriminant)
+        op1_string_tiling, op2_line_frequency, op3_sparse_suffixes, op4_temperature_mix, op5_fuzzy_lines, op6_bag_minhash,
+        op7_secret_ledger, op8_feistel_shards, op9_redirect_groups, op10_quadratic_discriminant)
 }
 ORACLE_SQL: dict[str, str] = {}
