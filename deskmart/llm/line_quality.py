@@ -38,15 +38,14 @@ def normalised(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """One row per (host, text, line): hash of the normalised line and its words in the text."""
+    """One row per (host, text, line): hash of the normalised line and its words in all copies of the text."""
     raw = F.filter(F.split(text_of(), "\n"), lambda line: line.rlike(_WORD))
     lines = docs.select("host", *text_key(), F.explode(raw).alias("line"))
     line = normalised(F.col("line"))
     return (lines.select("host", *KEY, F.xxhash64(line).alias("line_a"),
                          F.xxhash64(F.lit(3), line).alias("line_b"),
                          F.regexp_count("line", F.lit(_WORD)).cast("long").alias("words"))
-            .groupBy("host", *KEY, "line_a", "line_b")
-            .agg(F.sum("words").alias("words"), F.count("*").alias("times")))
+            .groupBy("host", *KEY, "line_a", "line_b").agg(F.sum("words").alias("words")))
 
 
 def judge_documents(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS,
@@ -66,14 +65,16 @@ def judge_documents(docs: DataFrame, host: str = "source", min_docs: int = MIN_D
     docs = docs.select("doc_id", F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), "text")
     counts = written(base_counts(docs), "counts")
     lines = written(line_table(docs), "lines")
-    texts = counts.groupBy("host", *KEY).agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("texts"))
+    copies = counts.groupBy("host", *KEY).agg(F.count("*").alias("copies"))
+    texts = copies.groupBy("host").agg(F.count("*").alias("texts"))
     frequent = written(
         lines.groupBy("host", "line_a", "line_b").agg(F.count("*").alias("docs"))
         .where(F.col("docs") > min_docs).join(texts, "host")
         .where(F.col("docs") > max_share * F.col("texts"))
         .select("host", "line_a", "line_b"), "frequent")
     removed = (lines.join(frequent, ["host", "line_a", "line_b"])
-               .groupBy("host", *KEY).agg(F.sum("words").alias("_removed")))
+               .groupBy("host", *KEY).agg(F.sum("words").alias("words")).join(copies, ["host", *KEY])
+               .select("host", *KEY, (F.col("words") / F.col("copies")).cast("long").alias("_removed")))
     left = F.col("n_words") - F.coalesce("_removed", F.lit(0))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (counts.join(removed, ["host", *KEY], "left")

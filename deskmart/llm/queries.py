@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskmart.llm import (
-    bag_minhash, feistel_shards, fuzzy_lines, line_quality, mixing, qda, redirects, secret_ledger,
+    bag_minhash, expected, feistel_shards, fuzzy_lines, line_quality, mixing, qda, redirects, secret_ledger,
     sparse_suffixes, string_tiling)
 from deskmart.session import new_folder
 
@@ -35,7 +35,10 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sparse_suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+    found = sparse_suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+    spans = F.transform("passages", lambda p: F.concat_ws(
+        ":", *(p[c].cast("string") for c in ("start", "end", "first_doc"))))
+    return found.withColumn("passages", F.concat_ws(",", spans))
 
 
 def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,4 +78,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_string_tiling, op2_line_frequency, op3_sparse_suffixes, op4_temperature_mix, op5_fuzzy_lines, op6_bag_minhash,
         op7_secret_ledger, op8_feistel_shards, op9_redirect_groups, op10_quadratic_discriminant)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_frequency": expected.LINE_FREQUENCY,
+    "op3_sparse_suffixes": expected.PASSAGES,
+    "op6_bag_minhash": expected.NEAR_DUPLICATES,
+    "op7_secret_ledger": expected.SECRETS,
+    "op9_redirect_groups": expected.URL_VERDICTS,
+}
