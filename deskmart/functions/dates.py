@@ -35,6 +35,11 @@ WORDY_PATTERNS = (
 )
 
 
+# The first and last whole second that a nanosecond time of 64 bits can hold. Times
+# outside, such as 9999-12-31 for "still open", count as unparseable.
+FIRST, LAST = "1677-09-21 00:12:44", "2262-04-11 23:47:16"
+
+
 def _ntz(text: Column) -> Column:
     return text.try_cast(_NTZ)
 
@@ -43,7 +48,7 @@ def parse_datetime(text: Column) -> Column:
     """Stripped ticket time text to TIMESTAMP_NTZ cut to the second; null if nothing fits.
 
     Month before day wherever both are possible; day before month only for an impossible month.
-    Instants with an offset become UTC wall-clock time.
+    Instants with an offset become UTC wall-clock time; times outside FIRST .. LAST become null.
     """
     year_first = _ntz(F.substring_index(text, ".", 1))
     month_first = _ntz(F.regexp_replace(text, YEAR_LAST, "$4-$1-$3$5"))
@@ -52,10 +57,11 @@ def parse_datetime(text: Column) -> Column:
     zoned = F.regexp_replace(text, ZONED_MINUTE, "$1:00$2").try_cast("timestamp")
     instant = (F.when(text.rlike(ZONED), F.date_trunc("second", zoned))
                .when(text.rlike(WORDY), wordy))
-    return (
+    found = (
         F.when(text.rlike(YEAR_FIRST), year_first)
         .when(text.rlike(YEAR_LAST), F.coalesce(month_first, day_first))
         .otherwise(instant.cast(_NTZ)))
+    return F.when(found.between(F.lit(FIRST).cast(_NTZ), F.lit(LAST).cast(_NTZ)), found)
 
 
 def to_second(value: Column) -> Column:

@@ -56,23 +56,32 @@ def _pass(ok: Column) -> Column:
 
 
 def all_checks(raw: DataFrame, star: Star) -> DataFrame:
-    """one row per check (F3 is a table of its own and appears as its total)."""
-    def zero(number: int, label: str, counted: DataFrame) -> DataFrame:
-        value = F.col(counted.columns[0])
-        return counted.select(F.lit(number).alias("check"), F.lit(label).alias("label"),
-                              value.cast("bigint").alias("value"), _pass(value == 0).alias("status"))
-
-    breaches = breaches_by_priority(star).agg(
-        F.coalesce(F.sum("breached_tickets"), F.lit(0)).alias("value"))
-    parity = row_parity(raw, star)
-    return (
-        zero(1, "facts without a calendar date", dates_without_calendar(star))
-        .unionByName(zero(2, "facts without an agent", facts_without_agent(star)))
-        .unionByName(breaches.select(
-            F.lit(3).alias("check"), F.lit("breached tickets").alias("label"),
-            F.col("value").cast("bigint"), F.lit("INFO").alias("status")))
-        .unionByName(zero(4, "negative resolution hours", negative_resolution(star)))
-        .unionByName(parity.select(
-            F.lit(5).alias("check"), F.lit("raw rows minus fact rows").alias("label"),
-            (F.col("raw_rows") - F.col("fact_rows")).cast("bigint").alias("value"),
-            F.col("result").alias("status"))))
+    """one row per check (F3 is a table of its own and appears as its total).
+
+    One pass over the fact reduces it to date and priority keys, which answer all five.
+    """
+    n = F.col("n")
+    reduced = star.fact.groupBy(F.col("created_date_key").alias("date_key"), "priority_key").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("agent_key").isNull()).alias("no_agent"),
+        F.sum("sla_breached").alias("breached"), F.count_if(F.col("resolution_hours") < 0).alias("negative"))
+    known = star.calendar.select("date_key", F.lit(True).alias("known"))
+    priorities = star.priority.select("priority_key", F.lit(True).alias("named"))
+    facts = reduced.join(known, "date_key", "left").join(priorities, "priority_key", "left").agg(
+        F.sum(F.when(F.col("known").isNull(), n)).alias("no_date"), F.sum("no_agent").alias("no_agent"),
+        F.sum(F.when(F.col("named"), F.col("breached"))).alias("breached"),
+        F.sum("negative").alias("negative"), F.sum("n").alias("facts"))
+    raw_rows = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
+    one = facts.unionByName(raw_rows, allowMissingColumns=True).agg(*(
+        F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in (*facts.columns, "raw_rows")))
+
+    def check(number: int, label: str, value: Column, status: Column | None = None) -> Column:
+        return F.struct(F.lit(number).alias("check"), F.lit(label).alias("label"), value.alias("value"),
+                        (_pass(value == 0) if status is None else status).alias("status"))
+
+    rows = F.array(
+        check(1, "facts without a calendar date", F.col("no_date")),
+        check(2, "facts without an agent", F.col("no_agent")),
+        check(3, "breached tickets", F.col("breached"), F.lit("INFO")),
+        check(4, "negative resolution hours", F.col("negative")),
+        check(5, "raw rows minus fact rows", F.col("raw_rows") - F.col("facts")))
+    return one.select(F.explode(rows).alias("c")).select("c.*")

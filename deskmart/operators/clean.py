@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from deskmart.functions.dates import parse_datetime
 from deskmart.functions.numbers import to_count, to_number
 from deskmart.functions.text import present, strip, tidy_label, tidy_priority, tidy_status
-from deskmart.operators.ordinals import number_in_blocks
+from deskmart.operators.ordinals import number_lines
 from deskmart.schemas import CANONICAL, DATE_COLUMNS, RAW_TICKETS, RESPONSE_HOURS_COLUMN
 from deskmart.session import prepare
 
@@ -47,13 +47,16 @@ def project_columns(df: DataFrame, names: Sequence[str] = CANONICAL) -> DataFram
                        else F.lit(None).cast("string").alias(c) for c in names))
 
 
-def synthesize_ids(df: DataFrame, block: tuple[str, ...], line: str) -> DataFrame:
-    """1..n in (file, line) order when not a single id is present, else unchanged."""
+def synthesize_ids(df: DataFrame, block: str, line: str) -> DataFrame:
+    """1..n in (file, line) order when not a single id is present, else unchanged.
+
+    Cells that spell "missing" are no ids; lines are consecutive inside a block.
+    """
     if "ticket_id" in df.columns:
-        if not df.where(F.col("ticket_id").isNotNull()).isEmpty():
+        if not df.where(present("ticket_id")).isEmpty():
             return df
         df = df.drop("ticket_id")
-    numbered = number_in_blocks(df, block, line, "ticket_id")
+    numbered = number_lines(df, block, line, "ticket_id")
     return numbered.withColumn("ticket_id", F.col("ticket_id").cast("string"))
 
 

@@ -73,8 +73,9 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
     columns = list(columns or profiled_columns(df))
     value, n = F.col("value"), F.col("n")
     number = to_number(strip(value))
-    long_text = (F.length(value) > _DIGEST_OVER) & number.isNull() & ~value.rlike(_ISO_DAY) \
-        & ~value.rlike(_US_DAY)
+    # a digest keeps neither numbers nor date shapes nor truth values, so only other texts get one
+    long_text = ((F.length(value) > _DIGEST_OVER) & number.isNull() & (date_shape(value) == "other")
+                 & ~F.lower(strip(value)).isin("true", "false"))
     key = F.when(long_text, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(value)
     if approximate:
         counted = _long(df, columns).select(
@@ -90,7 +91,8 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
     shape = F.col("shape")
     stats = counted.unionByName(every).select(
         "column_name", "value", "n", number.alias("number"), date_shape(value).alias("shape"),
-        strip(value).rlike(r"^[+-]?\d{1,18}$").alias("whole"),
+        F.when(strip(value).rlike(r"^[+-]?\d+$"), strip(value).try_cast("bigint").isNotNull())
+        .otherwise(F.when(value.isNotNull(), False)).alias("whole"),
         F.lower(strip(value)).isin("true", "false").alias("truth"),
     ).groupBy("column_name").agg(
         F.sum("n").alias("total"),
@@ -132,16 +134,11 @@ def numeric_stats(stats: DataFrame) -> DataFrame:
         "negatives")
 
 
-def date_formats(df: DataFrame, stats: DataFrame | None = None,
-                 sample_limit: int | None = None) -> DataFrame:
-    """Date shapes per date column, over all values or the first ``sample_limit`` ones."""
+def date_formats(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Date shapes of all values per date column."""
     columns = [c for c in DATE_COLUMNS if c in df.columns]
-    if sample_limit is None:
-        stats = column_stats(df, columns) if stats is None else stats
-        return stats.where(F.col("column_name").isin(*columns)).select(
-            "column_name", *DATE_FORMATS)
-    first = first_values(df, sample_limit, columns)
-    return first.groupBy("column_name").agg(*_date_counts(F.lit(1), date_shape(F.col("value"))))
+    stats = column_stats(df, columns) if stats is None else stats
+    return stats.where(F.col("column_name").isin(*columns)).select("column_name", *DATE_FORMATS)
 
 
 def first_values(df: DataFrame, limit: int, columns: Sequence[str] | None = None) -> DataFrame:

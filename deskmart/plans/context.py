@@ -27,18 +27,25 @@ class FilterContext:
     channels: tuple[str, ...] = ()
     categories: tuple[str, ...] = ()
 
+    def __post_init__(self) -> None:
+        for name in ("priorities", "channels", "categories"):
+            chosen = getattr(self, name)
+            if isinstance(chosen, str):
+                raise TypeError(f"{name} must be a list of members, not the string {chosen!r}")
+            object.__setattr__(self, name, tuple(chosen))
+
     @classmethod
     def last_days(cls, as_of: datetime, days: int = 30, **members: Iterable[str]) -> FilterContext:
         """The relative-date slicer, ``as_of`` included."""
         last = as_of.date()
         return cls(last - timedelta(days=days - 1), last,
-                   **{name: tuple(values) for name, values in members.items()})
+                   **members)
 
     def apply(self, star: Star) -> DataFrame:
         """The facts in context.
 
-        A dimension only sends the keys of chosen members: names are unique per dimension, so their
-        number is bounded by the list itself and they can be broadcast.
+        The keys of chosen members are looked up first. Names are unique per dimension, so the caller's
+        list bounds them, and as literals they reach the scan.
         """
         fact = star.fact
         if self.date_from or self.date_to:
@@ -49,8 +56,8 @@ class FilterContext:
             (star.category, "category_name", "category_key", self.categories),
         ):
             if chosen:
-                keys = dim.where(F.col(name).isin(*chosen)).select(key)
-                fact = fact.join(F.broadcast(keys), key, "left_semi")
+                keys = [r[0] for r in dim.where(F.col(name).isin(*chosen)).select(key).collect()]
+                fact = fact.where(F.col(key).isin(*keys) if keys else F.lit(False))
         return fact
 
     def _between(self, fact: DataFrame, calendar: DataFrame) -> DataFrame:

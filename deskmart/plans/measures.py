@@ -204,19 +204,37 @@ def _combined(names: Sequence[str]) -> list[Column]:
     return out
 
 
+# What the pages of the dashboard group by.
+_CUBE_KEYS = ("created_date_key", "agent_key", "category_key", "priority_key", "ticket_age_band")
+
+
+def base_cube(star: Star, context: FilterContext | None = None) -> DataFrame:
+    """All base aggregates per combination of the keys that dashboard pages group by."""
+    bases = [*_COUNTS, *_SUMS, *_MAXIMA]
+    return (context or FilterContext()).apply(star).groupBy(*_CUBE_KEYS).agg(
+        *_base_aggregates(bases, star.as_of))
+
+
 def evaluate(star: Star, measures: Sequence[str], by: Sequence[str] = (),
-             context: FilterContext | None = None, as_of: datetime | None = None) -> DataFrame:
-    """One row per combination of ``by`` members with at least one ticket in ``context``."""
+             context: FilterContext | None = None, as_of: datetime | None = None,
+             cube: DataFrame | None = None) -> DataFrame:
+    """One row per combination of ``by`` members with at least one ticket in ``context``.
+
+    ``cube`` is a ``base_cube`` of the same context, which is then rolled up instead of the fact.
+    """
     as_of = as_of or star.as_of
     chosen = [MEASURES[name] for name in measures]
     bases = list(dict.fromkeys(base for m in chosen for base in m.bases))
-    fact = (context or FilterContext()).apply(star)
     own = _row_attributes(as_of)
     keys = {_DIM_OF[name][2]: None for name in by if name in _DIM_OF}
     if _DISTINCT_AGENTS in bases:
         keys["agent_key"] = None
     grouping = [*keys, *(own[name].alias(name) for name in by if name in own)]
-    grouped = fact.groupBy(*grouping).agg(*_base_aggregates(bases, as_of))
+    if cube is None:
+        fact = (context or FilterContext()).apply(star)
+        grouped = fact.groupBy(*grouping).agg(*_base_aggregates(bases, as_of))
+    else:
+        grouped = cube.groupBy(*grouping).agg(*_combined([b for b in bases if b != _DISTINCT_AGENTS]))
     if keys:
         for dim, key, fact_key in dict.fromkeys(_DIM_OF[name] for name in by if name in _DIM_OF):
             wanted = [name for name in by if _DIM_OF.get(name, ("",))[0] == dim]

@@ -9,73 +9,75 @@ from pyspark.sql import functions as F
 
 from deskmart.operators.fact import Star
 from deskmart.plans.context import FilterContext
-from deskmart.plans.measures import evaluate
+from deskmart.plans.measures import base_cube, evaluate
 from deskmart.schemas import RESOLVED_BAND
+from deskmart.session import new_folder
 
 Context = FilterContext | None
+Cube = DataFrame | None
 
 
 def _traffic_light(rate: Column, orange_from: float) -> Column:
     return F.when(rate >= 95, "green").when(rate >= orange_from, "orange").otherwise("red")
 
 
-def overview_cards(star: Star, context: Context = None) -> DataFrame:
+def overview_cards(star: Star, context: Context = None, cube: Cube = None) -> DataFrame:
     """I1 with the colour of I2."""
     cards = evaluate(star, ["total_tickets", "backlog_count", "mttr_display",
                             "sla_compliance_display", "csat_display", "sla_compliance_rate"],
-                     context=context)
+                     context=context, cube=cube)
     return cards.withColumn("sla_colour", _traffic_light(F.col("sla_compliance_rate"), 85))
 
 
-def tickets_over_time(star: Star, context: Context = None) -> DataFrame:
+def tickets_over_time(star: Star, context: Context = None, cube: Cube = None) -> DataFrame:
     """A date axis; days without tickets, and tickets without a calendar day, are absent."""
-    return (evaluate(star, ["total_tickets"], ["date"], context)
+    return (evaluate(star, ["total_tickets"], ["date"], context, cube=cube)
             .where(F.col("date").isNotNull()).orderBy("date"))
 
 
-def tickets_by_priority(star: Star, context: Context = None) -> DataFrame:
+def tickets_by_priority(star: Star, context: Context = None, cube: Cube = None) -> DataFrame:
     """I4."""
-    return evaluate(star, ["total_tickets"], ["priority_name"], context).orderBy(
+    return evaluate(star, ["total_tickets"], ["priority_name"], context, cube=cube).orderBy(
         F.col("total_tickets").desc(), "priority_name")
 
 
-def backlog_aging(star: Star, context: Context = None) -> DataFrame:
+def backlog_aging(star: Star, context: Context = None, cube: Cube = None) -> DataFrame:
     """Bands frozen at build time."""
-    return evaluate(star, ["total_tickets"], ["ticket_age_band"], context).where(
+    return evaluate(star, ["total_tickets"], ["ticket_age_band"], context, cube=cube).where(
         F.col("ticket_age_band") != RESOLVED_BAND)
 
 
-def performance_cards(star: Star, context: Context = None,
-                      as_of: datetime | None = None) -> DataFrame:
+def performance_cards(star: Star, context: Context = None, as_of: datetime | None = None,
+                      cube: Cube = None) -> DataFrame:
     """I6."""
     return evaluate(star, ["sla_breach_count", "sla_at_risk", "fcr_rate_display",
-                           "oldest_open_days"], context=context, as_of=as_of)
+                           "oldest_open_days"], context=context, as_of=as_of, cube=cube)
 
 
-def breach_rate_by_category(star: Star, context: Context = None) -> DataFrame:
+def breach_rate_by_category(star: Star, context: Context = None, cube: Cube = None) -> DataFrame:
     """I7."""
-    return evaluate(star, ["sla_breach_rate"], ["category_name"], context).orderBy(
+    return evaluate(star, ["sla_breach_rate"], ["category_name"], context, cube=cube).orderBy(
         F.col("sla_breach_rate").desc(), "category_name")
 
 
-def agent_matrix(star: Star, context: Context = None) -> DataFrame:
+def agent_matrix(star: Star, context: Context = None, cube: Cube = None) -> DataFrame:
     """I8 with the colour of I9: one row per agent name over all teams, worst SLA first."""
     rows = evaluate(star, ["total_tickets", "agent_mttr", "agent_fcr_rate",
-                           "agent_sla_compliance"], ["agent_name"], context)
+                           "agent_sla_compliance"], ["agent_name"], context, cube=cube)
     return rows.withColumn(
         "sla_colour", _traffic_light(F.col("agent_sla_compliance"), 80)
     ).orderBy("agent_sla_compliance", "agent_name")
 
 
-def csat_cards(star: Star, context: Context = None) -> DataFrame:
+def csat_cards(star: Star, context: Context = None, cube: Cube = None) -> DataFrame:
     """I10."""
     return evaluate(star, ["csat_display", "csat_satisfied_rate", "csat_dissatisfied_rate"],
-                    context=context)
+                    context=context, cube=cube)
 
 
-def csat_by_category(star: Star, context: Context = None) -> DataFrame:
+def csat_by_category(star: Star, context: Context = None, cube: Cube = None) -> DataFrame:
     """Unrated categories are absent; lowest first."""
-    return (evaluate(star, ["avg_csat"], ["category_name"], context)
+    return (evaluate(star, ["avg_csat"], ["category_name"], context, cube=cube)
             .where(F.col("avg_csat").isNotNull()).orderBy("avg_csat", "category_name"))
 
 
@@ -97,15 +99,16 @@ def csat_by_resolution_time(star: Star, context: Context = None) -> DataFrame:
 
 
 def dashboard(star: Star, context: Context = None) -> dict[str, DataFrame]:
-    """Every dataset of the three pages under one and the same context."""
-    return {
-        "overview_cards": overview_cards(star, context),
-        "tickets_over_time": tickets_over_time(star, context),
-        "tickets_by_priority": tickets_by_priority(star, context),
-        "backlog_aging": backlog_aging(star, context),
-        "performance_cards": performance_cards(star, context),
-        "breach_rate_by_category": breach_rate_by_category(star, context),
-        "agent_matrix": agent_matrix(star, context),
-        "csat_cards": csat_cards(star, context),
-        "csat_by_category": csat_by_category(star, context),
-    }
+    """Every dataset of the three pages under one and the same context.
+
+    The facts in context are read once, for a table of base aggregates below the shared checkpoint
+    folder; all pages are rolled up from that.
+    """
+    spark = star.fact.sparkSession
+    folder = new_folder(spark, "dashboard")
+    reduced = base_cube(star, context)
+    reduced.write.parquet(folder)
+    cube = spark.read.schema(reduced.schema).parquet(folder)
+    pages = (overview_cards, tickets_over_time, tickets_by_priority, backlog_aging, performance_cards,
+             breach_rate_by_category, agent_matrix, csat_cards, csat_by_category)
+    return {page.__name__: page(star, context, cube=cube) for page in pages}

@@ -18,6 +18,7 @@ SETTINGS = {
 
 
 def prepare(spark: SparkSession) -> None:
+    """Give the caller's session the SETTINGS that all results rest on; they stay set."""
     for name, value in SETTINGS.items():
         if spark.conf.get(name) != value:
             spark.conf.set(name, value)
@@ -34,13 +35,15 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread_small(df: DataFrame) -> DataFrame:
+def spread_small(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
     """Deal the rows of a scan with few splits over all cores, ahead of per-row work.
 
-    A scan of a large table has more splits than the cluster has cores and stays as it is.
+    A scan of a large table has more splits than the cluster has cores and stays as it is. ``scan``
+    is the plain scan below ``df``, whose splits are known without running anything.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+    splits = (df if scan is None else scan).rdd.getNumPartitions()
+    return df.repartition(cores) if 2 * splits <= cores else df
 
 
 def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deskmart.operators.fact import Star, build_star
@@ -58,20 +59,43 @@ def read_star(spark: SparkSession, path: str, as_of: datetime) -> Star:
     return Star(fact, *dims, as_of)
 
 
+# A record never spans lines, so exported files can be split: line breaks in text are written as
+# backslash and n or r, and a backslash as two.
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+_MARK = "\ufdd0"  # a Unicode noncharacter, in the place of a restored backslash
+
+
+def _escaped(text: Column) -> Column:
+    for plain, written in _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def _restored(text: Column) -> Column:
+    text = F.replace(text, F.lit(_ESCAPES[0][1]), F.lit(_MARK))
+    for plain, written in _ESCAPES[1:]:
+        text = F.replace(text, F.lit(written), F.lit(plain))
+    return F.replace(text, F.lit(_MARK), F.lit("\\"))
+
+
+def _texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    return df.withColumns({name: change(F.col(name)) for name, kind in df.dtypes if kind == "string"})
+
+
 def export_csv(star: Star, path: str) -> None:
-    """One CSV folder per table, with header; dimensions as a single file."""
+    """One CSV folder per table, with header. Adaptive execution sizes the files of dimensions."""
     jobs = []
     for name, table in star.tables().items():
-        out = table if name == "fact_tickets" else table.coalesce(1)
+        out = _texts(table if name == "fact_tickets" else table.hint("rebalance"), _escaped)
         jobs.append(partial(out.write.mode("overwrite").options(**CSV_OUT).csv, f"{path}/{name}"))
     side_by_side(star.fact.sparkSession, jobs)
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A10: an exported table with its required types."""
-    return (spark.read.schema(STAR_TABLES[table]).option("header", True).option("escape", '"')
-            .option("timestampNTZFormat", _TIME)
-            .csv(f"{path}/{table}"))
+    cells = (spark.read.schema(STAR_TABLES[table]).option("header", True).option("escape", '"')
+             .option("timestampNTZFormat", _TIME).csv(f"{path}/{table}"))
+    return _texts(cells, _restored)
 
 
 def build_tables(tickets: DataFrame, path: str, as_of: datetime) -> tuple[DataFrame, Star]:

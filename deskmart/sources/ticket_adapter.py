@@ -40,23 +40,31 @@ def _next_times(events: DataFrame) -> DataFrame:
 
     A plain ``min() over (partition by user order by ts ...)`` puts every event of a user into one
     task. Only the second of the following event matters, so events are first reduced to one row per
-    user and second; the window then sorts at most one row per second of the covered time span, no
-    matter how many events a user has.
+    user and second. A window looks for it inside the day, where a user has 86,400 rows at most; else it is
+    the first one of a later day, found among one row per user and day.
     """
     def last(kind: str) -> Column:
         return F.max(F.when(F.col("event_type") == kind, F.col("rank")))
 
     per_second = events.groupBy(*_KEY).agg(
-        last("click").alias("last_click"), last("purchase").alias("last_purchase"))
-    later = Window.partitionBy("user", "named").orderBy(F.col("sec").desc()).rowsBetween(
+        last("click").alias("last_click"), last("purchase").alias("last_purchase")
+    ).withColumn("day", F.to_date("sec"))
+    click = F.when(F.col("last_click").isNotNull(), F.col("sec"))
+    purchase = F.when(F.col("last_purchase").isNotNull(), F.col("sec"))
+    days = Window.partitionBy("user", "named").orderBy(F.col("day").desc()).rowsBetween(
         Window.unboundedPreceding, -1)
-    return per_second.select(
+    per_day = per_second.groupBy("user", "named", "day").agg(
+        F.min(click).alias("click"), F.min(purchase).alias("purchase")).select(
+        "user", "named", "day", F.min("click").over(days).alias("next_click"),
+        F.min("purchase").over(days).alias("next_purchase"))
+    later = Window.partitionBy("user", "named", "day").orderBy(F.col("sec").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return per_second.withColumns({
+        "later_click": F.min(click).over(later), "later_purchase": F.min(purchase).over(later),
+    }).join(per_day, ["user", "named", "day"], "left").select(
         *_KEY, "last_click", "last_purchase",
-        F.min(F.when(F.col("last_click").isNotNull(), F.col("sec"))).over(later)
-        .alias("later_click"),
-        F.min(F.when(F.col("last_purchase").isNotNull(), F.col("sec"))).over(later)
-        .alias("later_purchase"),
-    )
+        F.coalesce("later_click", "next_click").alias("later_click"),
+        F.coalesce("later_purchase", "next_purchase").alias("later_purchase"))
 
 
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,6 +43,9 @@ PARSED = {
     "3/4/2024 9:05 PM": datetime(2024, 3, 4, 21, 5),
     "3/4/2024 12:05:07 AM": datetime(2024, 3, 4, 0, 5, 7),
     "02/30/2024": None, "2024-02-30": None, "13/13/2024": None, "45000": None, "2024": None,
+    "9999-12-31": None, "0001-01-01 00:00:00": None, "1/1/1600": None, "1677-09-21 00:12:43": None,
+    "1677-09-21 00:12:44": datetime(1677, 9, 21, 0, 12, 44), "2262-04-11 23:47:16": datetime(2262, 4, 11, 23, 47, 16),
+    "2262-04-11T23:47:17Z": None, "31 Dec 9999": None,
     "garbage": None, "": None, "2024-03-02 24:00:00": None, "April 31 blah": None,
 }
 

@@ -8,7 +8,9 @@ a dashboard reads the tables of the latest build.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +20,13 @@ from deskmart.functions.numbers import to_count, to_number
 from deskmart.functions.text import strip, tidy_label, tidy_priority, tidy_status
 from deskmart.operators import checks, profile
 from deskmart.operators.clean import (
-    clean_tickets, prepare_cells, present_cells, project_columns, unparseable_dates,
+    clean_tickets, prepare_cells, present_cells, project_columns, synthesize_ids, unparseable_dates,
 )
 from deskmart.operators.fact import Star
-from deskmart.operators.ordinals import number_in_blocks
 from deskmart.plans import reports
 from deskmart.plans.context import FilterContext
 from deskmart.plans.measures import MEASURES, evaluate, formatted
-from deskmart.schemas import CANONICAL, DATE_COLUMNS
+from deskmart.schemas import CANONICAL, DATE_COLUMNS, STAR_TABLES
 from deskmart.session import new_folder, prepare
 from deskmart.sources import csv_ingest, tables
 from deskmart.sources.ticket_adapter import AS_OF, raw_tickets
@@ -140,6 +141,27 @@ def a1_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present_cells(frame.select(event, *CANONICAL))
 
 
+# Descriptions that CSV readers trip over, by event id.
+_HOSTILE = ("'plain, with comma'", "concat('two', chr(10), 'lines')", "concat('crlf', chr(13), chr(10), 'x')",
+            "concat('old', chr(13), 'mac', chr(13))", "'say ""now""'", "'5"" disk'",
+            "concat('a"",', chr(10), '""b""')", "concat(chr(10), chr(10), 'end')")
+_HOSTILE_SQL = "case event_id % 8 " + " ".join(
+    f"when {i} then {text.replace(chr(34) * 2, chr(34))}" for i, text in enumerate(_HOSTILE)) + " end"
+
+
+@register("a1_spanning_records", sql.from_source(
+    f"select event_id, {_HOSTILE_SQL} as description from src"))
+def a1_spanning_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: one large file whose quoted cells hold line breaks of all kinds, quotes and commas."""
+    def write(path: str) -> None:
+        rows = raw_tickets(spark, sf_dir).select(
+            F.col("event_id").alias("id"), "created_at", F.expr(_HOSTILE_SQL).alias("body"))
+        rows.coalesce(1).write.options(**tables.CSV_OUT, quoteAll=True).csv(path)
+
+    frame = csv_ingest.ingest(spark, _once(spark, sf_dir, "spanning", write)).frame
+    return frame.select(F.col("ticket_id").cast("bigint").alias("event_id"), "description")
+
+
 # (rows of the layout, header, canonical column)
 _MAPPED = [("event_id % 2 = 0", c, c) for c in CANONICAL] + [
     ("event_id % 2 = 1", h, c) for h, c in
@@ -209,25 +231,35 @@ def a7_raw_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(built(spark, sf_dir)[0])
 
 
-_TABLES = ("fact", "dim_agent", "dim_category", "dim_channel", "dim_priority", "dim_calendar")
+def _as_rows(name: str, columns: list[str]) -> str:
+    """SQL text: the columns of a table as one text per row."""
+    cells = " || '|' || ".join(f"coalesce(cast({c} as string), '')" for c in columns)
+    return f"select '{name}' as table_name, {cells} as content"
+
+
+_CONTENT_COLUMNS = {
+    "fact_tickets": ["ticket_id", *"agent_key category_key channel_key priority_key created_date_key status "
+                     "ticket_age_band sla_breached".split()],
+} | {t: [f.name for f in STAR_TABLES[t]] for t in STAR_TABLES if t != "fact_tickets"}
 
 
 @register("a8_idempotent_rebuild", sql.from_star(" union all ".join(
-    f"select '{'fact_tickets' if t == 'fact' else t}' as table_name, "
-    f"cast(count(*) as bigint) as n from {t}" for t in _TABLES)))
+    f"{_as_rows(t, c)} from {'fact' if t == 'fact_tickets' else t}" for t, c in _CONTENT_COLUMNS.items())))
 def a8_idempotent_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writing the star twice to one place leaves each table once."""
+    """Writing the star twice to one place leaves each row of each table once."""
     star = star_of(spark, sf_dir)
     folder = new_folder(spark, "rebuild")
     tables.write_star(star, folder)
     tables.write_star(star, folder)
-    again = tables.read_star(spark, folder, AS_OF).tables()
-    counts = [t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-              for name, t in again.items()]
-    out = counts[0]
-    for other in counts[1:]:
-        out = out.unionAll(other)
-    return out
+    return _contents(tables.read_star(spark, folder, AS_OF).tables())
+
+
+def _contents(star_tables: dict[str, DataFrame]) -> DataFrame:
+    parts = []
+    for name, columns in _CONTENT_COLUMNS.items():
+        cells = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)
+        parts.append(star_tables[name].select(F.lit(name).alias("table_name"), F.concat_ws("|", *cells).alias("content")))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _exported(spark: SparkSession, sf_dir: str) -> str:
@@ -248,14 +280,25 @@ _FACT_SQL = sql.from_star(
 
 @register("a9_csv_export", sql.from_star(
     f"select ticket_id, {_FACT_TIMES}, status, " + ", ".join(
-        f"cast({c} as varchar) as {c}" for c in (*_FACT_KEYS.split(", "), "reopen_count",
-                                                 "sla_breached"))
-    + ", ticket_age_band from fact"))
+        f"cast({c} as varchar) as {c}" for c in (*_FACT_KEYS.split(", "), "reopen_count", "sla_target_hours",
+                                                 "sla_breached", "is_first_contact_resolved"))
+    + f", {_FACT_HOURS}, round(satisfaction_score, 6) as satisfaction_score, ticket_age_band from fact"))
 def a9_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The exported fact as the text cells of its CSV files."""
+    """The exported fact as the text cells of its CSV files; reals compared as numbers."""
     cells = spark.read.option("header", True).csv(f"{_exported(spark, sf_dir)}/fact_tickets")
-    return cells.select("ticket_id", *DATE_COLUMNS, "status", *_FACT_KEYS.split(", "),
-                        "reopen_count", "sla_breached", "ticket_age_band")
+    reals = {c: F.round(F.col(c).cast("double"), 6) for c in (
+        "resolution_hours", "response_hours", "satisfaction_score")}
+    return cells.withColumns(reals)
+
+
+def _broken(text: Column) -> Column:
+    """Line breaks and backslashes put into a label."""
+    return F.concat(text, F.lit("\n\\n\r\\"), F.length(text).cast("string"))
+
+
+_BREAKS_SQL = "|| chr(10) || chr(92) || 'n' || chr(13) || chr(92) || cast(length({c}) as varchar)"
+_LABELS = {"dim_agent": ("agent_name", "team"), "dim_category": ("category_name",), "dim_channel": ("channel_name",),
+           "dim_priority": ("priority_name",), "fact_tickets": ("ticket_id",), "dim_calendar": ()}
 
 
 @register("a10_typed_reread", _FACT_SQL)
@@ -264,6 +307,21 @@ def a10_typed_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(tables.read_csv_table(spark, _exported(spark, sf_dir), "fact_tickets"))
 
 
+@register("a10_round_trip", sql.from_star(" union all ".join(
+    _as_rows(t, [f"({n} {_BREAKS_SQL.format(c=n)})" if n in _LABELS[t] else n for n in c])
+    + f" from {'fact' if t == 'fact_tickets' else t}" for t, c in _CONTENT_COLUMNS.items())))
+def a10_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six tables with line breaks in their labels, exported and read again."""
+    star = star_of(spark, sf_dir)
+    broken = {name: table.withColumns({c: _broken(F.col(c)) for c in _LABELS[name]})
+              for name, table in star.tables().items()}
+    changed = replace(star, fact=broken["fact_tickets"], **{
+        name.removeprefix("dim_"): broken[name] for name in broken if name != "fact_tickets"})
+    folder = new_folder(spark, "round-trip")
+    tables.export_csv(changed, folder)
+    return _contents({name: tables.read_csv_table(spark, folder, name) for name in broken})
+
+
 # --- B: cleaning ----------------------------------------------------------------------------------
 
 
@@ -316,6 +374,11 @@ _LAYOUTS = (
     ("M/d/yyyy h:mm a", _TO_MINUTE),
     ("'week' D", "null"),
     ("yyyy-MM-'32' HH:mm", "null"),
+    ("'9999'-MM-dd HH:mm:ss", "null"),
+    ("'0001'-MM-dd", "null"),
+    ("M/d/'1600'", "null"),
+    ("'2262-04-11 23:47:16'", "timestamp '2262-04-11 23:47:16'"),
+    ("'2262-04-11 23:47:17'", "null"),
 )
 
 
@@ -359,19 +422,23 @@ def b3_response_from_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ticket_id").cast("bigint").alias("event_id"), "first_response_at"))
 
 
+def _without_ids(spark: SparkSession, sf_dir: str) -> csv_ingest.Ingested:
+    """The adapter's tickets as sorted CSV files whose ids all spell "missing"."""
+    def write(path: str) -> None:
+        rows = raw_tickets(spark, sf_dir).select(
+            "event_id", F.when(F.col("event_id") % 2 == 0, "N/A").otherwise("n/a").alias("id"), "created_at")
+        (rows.repartitionByRange("event_id").sortWithinPartitions("event_id")
+         .write.options(**tables.CSV_OUT).csv(path))
+
+    return csv_ingest.ingest(spark, _once(spark, sf_dir, "no-ids", write))
+
+
 @register("b4_synthetic_ids", sql.from_source(
     "select event_id, cast(row_number() over (order by event_id) as varchar) as ticket_id from src"))
 def b4_synthetic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids 1..n in (block, line) order for tickets without any id.
-
-    The id range is cut into at most 100,000 blocks, about as many as a large scan has splits.
-    """
-    source = raw_tickets(spark, sf_dir).select("event_id")
-    low, high = source.agg(F.min("event_id"), F.max("event_id")).head()
-    width = (high - low) // 100_000 + 1
-    rows = source.withColumn("block", F.expr(f"(event_id - {low}L) div {width}L"))
-    numbered = number_in_blocks(rows, ("block",), "event_id", "ticket_id")
-    return numbered.select("event_id", F.col("ticket_id").cast("string").alias("ticket_id"))
+    """Ids 1..n in (file, line) order for a directory without any id."""
+    frame = synthesize_ids(_without_ids(spark, sf_dir).frame, profile.BLOCK, profile.LINE)
+    return frame.select(F.col("event_id").cast("bigint").alias("event_id"), "ticket_id")
 
 
 @register("b5_priority", sql.from_raw("select event_id, priority from raw"))
@@ -442,15 +509,23 @@ def _per_column(select: Callable[[str], str], columns=_PROFILED) -> str:
     return sql.from_source(" union all ".join(select(c) for c in columns))
 
 
+# Columns of a layout that no header feeds.
+_LACKING = {True: "team, description", False: ", ".join(
+    c for c in CANONICAL if c not in ("ticket_id", "status", "priority"))}
+
+
 @register("c1_file_summary", sql.from_source(
-    "select true as included, cast(case when event_id % 2 = 0 then 13 else 11 end as integer) "
-    "as mapped_columns, 'OK' as reason, cast(count(*) as bigint) as n from src group by all "
-    "union all select false, cast(3 as integer), "
-    "'no `created_at` could be inferred from headers', cast(count(*) as bigint) from src"))
+    "select true as included, cast(13 as integer) as mapped_columns, 'OK' as reason, '' as missing_columns, "
+    "cast(0 as bigint) as surplus_rows, cast(count(*) as bigint) as n from src where event_id % 2 = 0 "
+    f"union all select true, cast(11 as integer), 'OK', '{_LACKING[True]}', 0, "
+    "cast(count(*) as bigint) from src where event_id % 2 = 1 "
+    f"union all select false, cast(3 as integer), 'no header stands for created_at', '{_LACKING[False]}', "
+    "0, cast(count(*) as bigint) from src"))
 def c1_file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 summed over files of one layout (file names differ from run to run)."""
     return csv_ingest.file_summary(ingested(spark, sf_dir)).groupBy(
-        "included", "mapped_columns", "reason").agg(F.sum("rows").alias("n"))
+        "included", "mapped_columns", "reason", "missing_columns").agg(
+        F.sum("surplus_rows").alias("surplus_rows"), F.sum("rows").alias("n"))
 
 
 @register("c2_header_mapping", sql.from_source(
@@ -476,7 +551,8 @@ def c3_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("c4_column_types", _per_column(
     lambda c: f"select '{c}' as column_name, case "
-    f"when bool_and(regexp_full_match(trim({c}), '[+-]?\\d{{1,18}}')) then 'bigint' "
+    f"when bool_and(regexp_full_match(trim({c}), '[+-]?\\d+') and try_cast(trim({c}) as bigint) is not null) "
+    f"then 'bigint' "
     f"when bool_and(regexp_full_match(trim({c}), '[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?')) "
     f"then 'double' when bool_and(lower(trim({c})) in ('true', 'false')) then 'boolean' "
     f"else 'string' end as data_type from {_PRESENT}"))
@@ -512,12 +588,39 @@ def c6_date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.date_formats(_unified(spark, sf_dir))
 
 
-@register("c6_date_formats_sampled", _per_column(
-    lambda c: f"select '{c}' as column_name, {_shape_counts(c)} from (select {c} from {_PRESENT} "
-    f"where {c} is not null order by event_id limit 2000)", DATE_COLUMNS))
-def c6_date_formats_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C6 over the first 2,000 values, the sample the profiler offers."""
-    return profile.date_formats(_unified(spark, sf_dir), sample_limit=2000)
+# Cells over 64 characters in every shape, and whole numbers up to and beyond 64 bits.
+_LONG = {
+    "created_at": ("case event_id % 5 when 0 then {pad} when 1 then concat({pad}, '2024-01-', {n}) "
+                   "when 2 then concat({pad}, '3/4/2024', {pad}) when 3 then concat('note ', {n}, {pad}) "
+                   "else concat('20', {n}, '-01-01') end"),
+    "ticket_id": "concat('12345678901234567', {n})",
+    "reopen_count": "concat('1234567890123456789', {n})",
+    "status": "case event_id % 2 when 0 then concat({pad}, 'true') else 'FALSE' end",
+}
+_LONG_KINDS = {"created_at": "string", "ticket_id": "bigint", "reopen_count": "double", "status": "boolean"}
+
+
+def _long_cells(text_type: str) -> str:
+    filled = {c: cell.format(pad="repeat(chr(32), 70)", n=f"cast(10 + event_id % 90 as {text_type})")
+              for c, cell in _LONG.items()}
+    return ", ".join(f"{cell} as {c}" for c, cell in filled.items())
+
+
+@register("c6_long_cells", " union all ".join(
+    f"select '{c}' as column_name, '{kind}' as data_type, cast(count(distinct {c}) as bigint) as "
+    f"distinct_values, {_shape_counts(c)} from (select {_long_cells('varchar')} from events)"
+    for c, kind in _LONG_KINDS.items()))
+def c6_long_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 and C6 of padded, blank and long cells, where exact and estimating passes agree."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    frame = events.selectExpr(f"inline(array(struct({_long_cells('string')})))")
+    exact, estimated = (profile.column_stats(frame, approximate=a) for a in (False, True))
+
+    def shaped(stats: DataFrame) -> DataFrame:
+        return profile.column_types(stats).join(stats.select("column_name", *profile.DATE_FORMATS), "column_name")
+
+    counted = profile.null_counts(exact).select("column_name", "distinct_values")
+    return shaped(exact).intersect(shaped(estimated)).join(counted, "column_name")
 
 
 @register("c7_numeric_stats", _per_column(
