@@ -42,7 +42,7 @@ def expected(events):
     return out
 
 
-@pytest.mark.parametrize("spread", [1, 60, 40_000])
+@pytest.mark.parametrize("spread", [1, 60, 40_000, 900_000])
 def test_next_events_against_brute_force(spark, tmp_path, spread):
     """One user holds most events; many share a second or even a microsecond; some have no user."""
     rng = random.Random(spread)

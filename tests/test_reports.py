@@ -4,10 +4,12 @@ from datetime import date, datetime, timedelta
 import pytest
 from conftest import AS_OF
 
+from deskmart.operators import checks
 from deskmart.operators.fact import build_star
 from deskmart.plans import reports
 from deskmart.plans.context import FilterContext
 from deskmart.plans.measures import MEASURES, evaluate, formatted
+from deskmart.sources import tables
 
 T0 = datetime(2024, 3, 12, 9)
 
@@ -144,3 +146,42 @@ def test_number_formats(star):
 def test_reports_need_one_pass_over_the_fact(star):
     plan = reports.agent_matrix(star)._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan and "Generate" not in plan
+
+
+def test_sort_orders(star):
+    ordered = lambda df, key: [tuple(r) for r in df.collect()] == sorted(map(tuple, df.collect()), key=key)
+    assert ordered(checks.breaches_by_priority(star), lambda r: (-r[1], r[0]))
+    assert ordered(reports.tickets_by_priority(star), lambda r: (-r[1], r[0]))
+    assert ordered(reports.breach_rate_by_category(star), lambda r: (-r[1], r[0]))
+    assert ordered(reports.csat_by_category(star), lambda r: (r[1], r[0]))
+    assert ordered(reports.tickets_over_time(star), lambda r: r[0])
+
+
+def test_dashboard_pages_equal_single_reports(star):
+    for context in (None, FilterContext.last_days(AS_OF, 40, priorities=["High", "Low"], channels=["Web"])):
+        pages = reports.dashboard(star, context)
+        assert len(pages) == 9
+        for name, page in pages.items():
+            single = getattr(reports, name)(star, context).collect()
+            assert sorted(map(repr, page.collect())) == sorted(map(repr, single)), name
+
+
+def test_passes_over_written_tables(spark, tickets, rows, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # else plans cut paths short
+    raw, star = tables.build_tables(tickets(*rows), str(tmp_path), AS_OF)
+    scans = lambda df, table: df._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/{table}")
+    assert scans(checks.all_checks(raw, star), "fact_tickets") == 1
+    pages = reports.dashboard(star, FilterContext.last_days(AS_OF, 30, priorities=["High"]))
+    assert len(pages) == 9 and all(scans(page, "fact_tickets") == 0 for page in pages.values())
+    filtered = FilterContext(priorities=("High",)).apply(star)
+    assert "PushedFilters: [IsNotNull(priority_key), EqualTo(priority_key," in filtered._jdf.queryExecution().executedPlan().toString()
+    built = build_star(raw, AS_OF)
+    fact_plan = built.fact._jdf.queryExecution().optimizedPlan().toString()
+    assert fact_plan.count("Relation [") - fact_plan.count("InMemoryRelation [") == 1
+    built.release()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_a_plain_string_is_no_member_list():
+    with pytest.raises(TypeError):
+        FilterContext.last_days(AS_OF, 30, priorities="High")
