@@ -38,14 +38,23 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_POWERS: dict[str, np.ndarray] = {}
+class _Tables:
+    """Powers of the base and of its inverse, made where they are used: functions that are sent to tasks
+    take an empty one along."""
 
+    def __init__(self) -> None:
+        self.up = self.down = np.zeros(0, np.uint64)
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        _POWERS["up"] = _powers(_BASE, n)
-        _POWERS["down"] = _powers(pow(_BASE, -1, 1 << 64), n)
-    return _POWERS["up"], _POWERS["down"]
+    def __reduce__(self):
+        return _Tables, ()
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up, self.down = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+        return self.up, self.down
+
+
+_TABLES = _Tables()
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +68,7 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def segments(hashes_of: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of byte ranges of one piece."""
-    up, down = _tables(len(hashes_of) + 1)
+    up, down = _TABLES.of(len(hashes_of) + 1)
     sums = np.zeros(len(hashes_of) + 1, dtype=np.uint64)
     np.cumsum((hashes_of.astype(np.uint64) + _U(1)) * up[:len(hashes_of)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * down[starts] ^ (ends - starts).astype(np.uint64))
