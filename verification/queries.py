@@ -551,7 +551,7 @@ def c3_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("c4_column_types", _per_column(
     lambda c: f"select '{c}' as column_name, case "
-    f"when bool_and(regexp_full_match(trim({c}), '[+-]?\\d+') and try_cast(trim({c}) as bigint) is not null) "
+    f"when bool_and(regexp_full_match(trim({c}), '[+-]?\\d+') and ({c} is null or try_cast(trim({c}) as bigint) is not null)) "
     f"then 'bigint' "
     f"when bool_and(regexp_full_match(trim({c}), '[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?')) "
     f"then 'double' when bool_and(lower(trim({c})) in ('true', 'false')) then 'boolean' "
