@@ -18,6 +18,10 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+def _host(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("")).alias("host")
+
+
 def base_counts(docs: DataFrame) -> DataFrame:
     """doc_id, host, key of the text and the BASE counts of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,12 +46,25 @@ def line_table(docs: DataFrame) -> DataFrame:
     raw = F.filter(F.split(text_of(), "\n"), lambda line: line.rlike(_WORD))
     lines = docs.select("host", *text_key(), F.explode(raw).alias("line"))
     line = normalised(F.col("line"))
-    return (lines.select("host", *KEY, F.xxhash64(line).alias("line_a"),
-                         F.xxhash64(F.lit(3), line).alias("line_b"),
-                         F.regexp_count("line", F.lit(_WORD)).cast("long").alias("words"))
+    return (lines.select("host", *KEY, *_line_hashes(line), F.regexp_count(
+        "line", F.lit(_WORD)).cast("long").alias("words"))
             .groupBy("host", *KEY, "line_a", "line_b").agg(F.sum("words").alias("words")))
 
 
+def _line_hashes(line: Column) -> list[Column]:
+    return [F.xxhash64(line).alias("line_a"), F.xxhash64(F.lit(3), line).alias("line_b")]
+
+
+def frequent_lines(lines: DataFrame, texts: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+    """(host, line_a, line_b) of ``line_table`` rows in too many of the host's different ``texts`` (host, key)."""
+    hosts = texts.groupBy("host").agg(F.count("*").alias("texts"))
+    return written(
+        lines.groupBy("host", "line_a", "line_b").agg(F.count("*").alias("docs"))
+        .where(F.col("docs") > min_docs).join(hosts, "host")
+        .where(F.col("docs") > max_share * F.col("texts"))
+        .select("host", "line_a", "line_b"), "frequent")
+
+
 def judge_documents(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS,
                     max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
     """doc_id, host, the BASE counts, words_left, base_failed and kept of every row of ``docs``.
@@ -62,16 +79,11 @@ def judge_documents(docs: DataFrame, host: str = "source", min_docs: int = MIN_D
     is summed up in many tasks. Null texts count as empty, null hosts are one host, ids are only
     passed through; repeated rows are judged alike and all returned.
     """
-    docs = docs.select("doc_id", F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), "text")
+    docs = docs.select("doc_id", _host(host), "text")
     counts = written(base_counts(docs), "counts")
     lines = written(line_table(docs), "lines")
     copies = counts.groupBy("host", *KEY).agg(F.count("*").alias("copies"))
-    texts = copies.groupBy("host").agg(F.count("*").alias("texts"))
-    frequent = written(
-        lines.groupBy("host", "line_a", "line_b").agg(F.count("*").alias("docs"))
-        .where(F.col("docs") > min_docs).join(texts, "host")
-        .where(F.col("docs") > max_share * F.col("texts"))
-        .select("host", "line_a", "line_b"), "frequent")
+    frequent = frequent_lines(lines, copies, min_docs, max_share)
     removed = (lines.join(frequent, ["host", "line_a", "line_b"])
                .groupBy("host", *KEY).agg(F.sum("words").alias("words")).join(copies, ["host", *KEY])
                .select("host", *KEY, (F.col("words") / F.col("copies")).cast("long").alias("_removed")))
@@ -85,12 +97,17 @@ def judge_documents(docs: DataFrame, host: str = "source", min_docs: int = MIN_D
 
 def remove_frequent_lines(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS,
                           max_share: float = MAX_SHARE) -> DataFrame:
-    """(host, line, docs): the frequent lines themselves, for reports and for cleaning texts."""
-    docs = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), "text")
-    raw = F.filter(F.split(text_of(), "\n"), lambda line: line.rlike(_WORD))
-    lines = (docs.select("host", *text_key(), F.explode(raw).alias("line"))
-             .select("host", *KEY, normalised(F.col("line")).alias("line")).distinct())
-    texts = lines.select("host", *KEY).distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    return (lines.groupBy("host", "line").agg(F.count("*").alias("docs"))
-            .where(F.col("docs") > min_docs).join(texts, "host")
-            .where(F.col("docs") > max_share * F.col("texts")).select("host", "line", "docs"))
+    """The rows of ``docs``, with all their columns, without the too frequent lines of their host in ``text``."""
+    light = docs.select(_host(host), "text")
+    lines = written(line_table(light), "lines")
+    frequent = frequent_lines(lines, light.select("host", *text_key()).distinct(), min_docs, max_share)
+    # a text's own frequent lines, no more than it has lines
+    gone = written(lines.join(frequent, ["host", "line_a", "line_b"]).groupBy("host", *KEY)
+                   .agg(F.collect_set(F.struct("line_a", "line_b")).alias("gone")), "gone")
+    others = [F.col(f"row.{c}") for c in docs.columns]
+    rows = (docs.select(F.struct(*docs.columns).alias("row"), _host(host), "text", *text_key())
+            .join(gone, ["host", *KEY], "left"))
+    left = F.filter(F.split(text_of(), "\n"), lambda line: ~F.array_contains("gone", F.struct(*_line_hashes(normalised(line)))))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    return rows.withColumn("clean", text).select(*(
+        F.col("clean").alias(c) if c == "text" else other for c, other in zip(docs.columns, others)))
