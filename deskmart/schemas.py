@@ -89,6 +89,7 @@ _text, _int, _long, _real, _time = (
     T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampNTZType(),
 )
 
+# --- Fixed values: layouts of the typed tickets and of the six star tables -----------------------
 RAW_TICKETS = _struct(
     ("ticket_id", _text), ("created_at", _time), ("resolved_at", _time),
     ("first_response_at", _time), ("status", _text), ("priority", _text), ("category", _text),
