@@ -147,9 +147,8 @@ def keep_quality(docs: DataFrame, labels: DataFrame, shrink: float = 0.1) -> Dat
     """The rows of ``docs``, with all their columns, whose text scores THRESHOLD or more."""
     model = fit(written(document_features(docs), "features"), labels, shrink)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(model.scores(features(pa.Array.from_pandas(texts, type=pa.string()))))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.scores(features(texts)))
 
     return docs.where(score(text_of()) >= THRESHOLD)
