@@ -344,6 +344,32 @@ def test_fuzzy_lines_match_brute_force(spark):
         (i, n, *first[root[x]], degree[x], first[root[x]] == (i, n)) for i, n, x in flat)
 
 
+def test_fuzzy_lines_find_all_similar_lines(spark):
+    """Against edit similarity alone: lines of 4 to 120 words with edits up to and beyond the threshold."""
+    rng = random.Random(19)
+    letters = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 7)))
+    texts = []
+    for n in [4, 5, 9, 10, 14, 19, 20, 40, 100, 120]:
+        base = [letters() for _ in range(n)]
+        for k in [0] + [rng.randrange(1, n // 5 + 2) for _ in range(7)]:
+            w = list(base)
+            for _ in range(k):
+                at = rng.randrange(len(w))
+                w[at:at + 1] = rng.choice(([letters()], [], [w[at], letters()]))
+            texts.append(" ".join(w or ["empty"]))
+    lines = sorted(set(texts))
+    links = [(a, b) for a in lines for b in lines if a < b
+             and 1 - edit_distance(a.split(), b.split()) / max(len(a.split()), len(b.split())) >= 0.8 - 1e-9]
+    degree = collections.Counter(x for pair in links for x in pair)
+    root = components(lines, links)
+    first = {}
+    for i, x in enumerate(lines):
+        first.setdefault(root[x], i)
+    got = fuzzy_lines.classify_lines(documents(spark, [(i, x, "s") for i, x in enumerate(lines)])).collect()
+    assert len(links) > 50 and {r["doc_id"]: (r["class_doc"], r["links"]) for r in got} == {
+        i: (first[root[x]], degree[x]) for i, x in enumerate(lines)}
+
+
 def test_simhash_is_the_majority_of_word_hashes(spark):
     lines = [" ".join(f"w{i % m}" for i in range(n)) for n, m in ((1, 1), (3, 3), (40, 40), (127, 5), (128, 128), (700, 9), (40_000, 3))]
     words = {w for t in lines for w in t.split()}
