@@ -370,6 +370,14 @@ def test_fuzzy_lines_find_all_similar_lines(spark):
         i: (first[root[x]], degree[x]) for i, x in enumerate(lines)}
 
 
+def test_fuzzy_lines_collect_nothing(spark, monkeypatch):
+    """No rows go through the driver on the way to the links."""
+    lines = spark.createDataFrame([(i, f"one two three four {w}") for i, w in enumerate(("five", "six"))], "no long, line string")
+    different = fuzzy_lines.with_prefix(lines, 0.8).withColumn("code", fuzzy_lines.word_code(F.col("line")))
+    monkeypatch.setattr(type(lines), "collect", lambda self: pytest.fail("collected"))
+    assert fuzzy_lines.similar_lines(different, 0.8).count() == 1
+
+
 def test_simhash_is_the_majority_of_word_hashes(spark):
     lines = [" ".join(f"w{i % m}" for i in range(n)) for n, m in ((1, 1), (3, 3), (40, 40), (127, 5), (128, 128), (700, 9), (40_000, 3))]
     words = {w for t in lines for w in t.split()}
