@@ -57,20 +57,47 @@ def plain_address(url: Column) -> Column:
     return F.when(url.contains("://"), F.concat(page, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
-_HREF = r"""href\s*=\s*["']?([^"'\s>]+)"""
+_TAGS = r"(?is)<(?:link|meta)\b[^>]*>"
+_CANONICAL = r"""(?is)^<link\b.*?(?<![\w-])rel\s*=\s*(?:"[^">]*?\bcanonical\b|'[^'>]*?\bcanonical\b|canonical\b)"""
+_HREF = r"""(?is)(?<![\w-])href\s*=\s*["']?\s*([^"'\s>]+)"""
+_REFRESH = r"""(?is)^<meta\b.*?(?<![\w-])http-equiv\s*=\s*["']?\s*refresh\b"""
+_URL = r"""(?is)(?<![\w-])content\s*=[^>]*?\burl\s*=\s*["']?\s*([^"'\s>]+)"""
 
 
-def declared_target(url: Column, html: Column) -> Column:
-    """Where the page's canonical link, or else its refresh, points; null if nowhere. A target that starts with
-    one slash belongs to the page's own host; other relative targets are left out."""
-    tag = F.regexp_extract(html, r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0)
-    refresh = F.regexp_extract(
-        html, r"""(?is)<meta\b[^>]*http-equiv\s*=\s*["']?refresh\b[^>]*?url\s*=\s*["']?([^"'\s>]+)""", 1)
-    target = F.regexp_replace(
-        F.coalesce(F.nullif(F.regexp_extract(tag, "(?i)" + _HREF, 1), F.lit("")),
-                   F.nullif(refresh, F.lit(""))), "&amp;", "&")
-    return (F.when(target.contains("://"), target)
-            .when(target.rlike("^/(?!/)"), F.concat(F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1), target)))
+def _without_dots(path: Column) -> Column:
+    """A path from the host's root with its ``.`` and ``..`` parts carried out; ``..`` stops at the root."""
+    parts = F.aggregate(F.split(path, "/", -1), F.array().cast("array<string>"), lambda acc, part: F.when(
+        part == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).when(part == ".", acc).otherwise(F.concat(acc, F.array(part))))
+    return F.concat(F.array_join(parts, "/"), F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit("")))
+
+
+def resolved(url: Column, target: Column) -> Column:
+    """``target`` as an address, seen from the page at ``url``; null for other schemes (``mailto:``) and for targets
+    without a scheme where ``url`` has no ``://``."""
+    origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    cut = r"(?s)^([^?#]*)"
+    here = path_of(url)
+    folder = F.concat(F.lit("/"), F.regexp_extract(here, r"(?s)^/(.*/)", 1))
+    path = F.regexp_extract(target, cut, 1)
+    rest = F.regexp_replace(target, cut, "")
+    full = F.when(target.startswith("/"), path).otherwise(F.concat(folder, path))
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | (origin == "") | (target == ""), F.lit(None).cast("string"))
+            .when(target.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^(.*?:)//", 1), target))
+            .when(target.startswith("#"), F.concat(F.regexp_extract(url, r"(?s)^([^#]*)", 1), target))
+            .when(target.startswith("?"), F.concat(origin, here, target))
+            .otherwise(F.concat(origin, _without_dots(full), rest)))
+
+
+def declared_targets(url: Column, html: Column) -> Column:
+    """Where all canonical links and all refreshes of the page point, attributes in any order."""
+    tags = F.regexp_extract_all(html, F.lit(_TAGS), F.lit(0))
+
+    def of(kind: str, target: str) -> Column:
+        return F.transform(F.filter(tags, lambda t: t.rlike(kind)), lambda t: resolved(
+            url, F.regexp_replace(F.regexp_extract(t, target, 1), "&amp;", "&")))
+
+    return F.array_compact(F.concat(of(_CANONICAL, _HREF), of(_REFRESH, _URL)))
 
 
 def judge_pages(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = None) -> DataFrame:
@@ -88,8 +115,7 @@ def judge_pages(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None
     url = F.col("url")
     pages = pages.select("page_id", "url", "html")
     links = (pages.where("url is not null")
-             .select(F.col("url").alias("src"), F.explode(F.array_compact(F.array(
-                 declared_target(url, F.col("html"))))).alias("dst")))
+             .select(F.col("url").alias("src"), F.explode(declared_targets(url, F.col("html"))).alias("dst")))
     if redirects is not None:
         links = links.union(redirects.select("src", "dst"))
     links = links.where("src is not null and dst is not null").distinct()

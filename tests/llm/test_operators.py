@@ -464,6 +464,20 @@ def test_redirect_groups(spark):
     assert hosts[1] == ("www.bad.org", "/a") and hosts[6] == ("", "") and hosts[7] == ("", "") and hosts[3] == ("m.fine.net", "/1/")
 
 
+def test_all_declared_targets_count(spark):
+    own = lambda url: f'<link rel="canonical" href="{url}">'
+    rows = [
+        (1, "http://a.net/1", own("http://a.net/1") + '<meta http-equiv="refresh" content="0; url=https://bad.org/a">'),
+        (2, "http://a.net/2", '<META content="5;URL=\'http://bad.org/b\'" http-equiv=refresh>'),
+        (3, "http://a.net/3", own("http://a.net/3") + own("//bad.org/c")),
+        (4, "http://bad.org.net/x/y?z=1", own("http://a.net/4") + own("../../v/./w")), (5, "http://b.com/q/r", None),
+        (6, "http://bad.org.net/v/w", own("https://bad.org/d")), (7, "http://a.net/7", own("mailto:x@bad.org") + own("/login?to=http://bad.org/")),
+        (8, "http://b.net/q/r", own("s?t=1")), (9, "http://b.net/q/s?t=1", own("http://bad.org/e"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in redirects.judge_pages(pages, RULES).collect()}
+    assert got == {i: "allow" if i in (5, 7) else "block" for i in range(1, 10)}
+
+
 def test_plain_addresses(spark):
     pairs = [("https://www.a.com:443/x/?utm_a=1&b=2#z", "a.com/x?b=2"), ("http://m.A.com/X?ref=1", "a.com/X"), ("http://a.com/?b=1&gclid=3&c=2", "a.com?b=1&c=2"),
              ("http://a.com:8080/", "a.com:8080"), ("nothing", None), (None, None), ("x://", "")]
