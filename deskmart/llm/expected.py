@@ -80,9 +80,9 @@ _KINDS = (
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
     ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?", 0, 1),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
-    ("login", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@[^\s/:@]+", 0, 1),
+    ("login", r"[a-z][a-z0-9+.-]{0,31}://[^\s/:@]+:[^\s/:@]+@[^\s/:@]+", 0, 1),
 )
 SECRETS = f"""
 with d as (select row_number() over () rid, doc_id, coalesce(text, '') body from documents),
@@ -123,3 +123,69 @@ said as (select node, min(verdict) verdict from reach join own on own.url = othe
 select page_id, coalesce(site.host, '') host, coalesce(site.path, '') path, own.rule, coalesce(own.verdict, said.verdict, 'allow') verdict
 from pages left join site using (url) left join own using (url) left join said on said.node = pages.url
 """
+
+FILL_IN_MIDDLE = r"""
+with d as (select row_number() over () rid, doc_id, coalesce(text, '') body, sha256('7:' || coalesce(doc_id::varchar, '')) h from documents),
+u as (select *, regexp_extract_all(body, '[^\n]*\n|[^\n]+') ls,
+             list_transform([1, 9, 17, 25], lambda p: ('0x' || substr(h, p, 8))::bigint) hs from d),
+c as (select *, len(ls)::bigint n, least(hs[1] % (len(ls) + 1), hs[2] % (len(ls) + 1)) a, greatest(hs[1] % (len(ls) + 1), hs[2] % (len(ls) + 1)) b,
+             case when body = '' or contains(body, '<P>') or contains(body, '<S>') or contains(body, '<M>') or hs[3] % 100 >= 100 then 'plain'
+                  when hs[4] % 100 < 50 then 'spm' else 'psm' end form from u),
+s as (select *, array_to_string(ls[1:a], '') pre, array_to_string(ls[a + 1:b], '') mid, array_to_string(ls[b + 1:], '') suf from c)
+select doc_id, n, form, case when form <> 'plain' then length(pre) end::bigint prefix_chars, case when form <> 'plain' then length(mid) end::bigint middle_chars,
+       sha256(case form when 'plain' then body when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        else '<S>' || suf || '<P>' || pre || '<M>' || mid end) output_sha256,
+       sha256(body) restored_sha256 from s
+"""
+
+
+def _personal(name: str, pattern: str, valid: str, value: str, rank: int) -> str:
+    return f"""
+  select rid, {rank} as rank, '{name}' as kind, s, s + len(hit) as e, '{name} ' || {value} as val from (
+    select rid, hits[k] hit, regexp_replace(hits[k], '[^0-9]', '', 'g') digits,
+           list_sum(list_transform(gaps[1:k], lambda x: len(x))) + coalesce(list_sum(list_transform(hits[1:k - 1], lambda x: len(x))), 0) as s
+    from (select rid, hits, gaps, unnest(range(1, len(hits) + 1)) as k from (
+      select rid, regexp_extract_all(body, '{pattern}') as hits, string_split_regex(body, '{pattern}') as gaps from d))) where {valid}"""
+
+
+_LUHN = """len(digits) between 12 and 19 and list_sum(list_transform(range(0, len(digits)), lambda i:
+  case when i % 2 = 0 then substr(digits, len(digits) - i, 1)::int when substr(digits, len(digits) - i, 1)::int > 4 then substr(digits, len(digits) - i, 1)::int * 2 - 9
+       else substr(digits, len(digits) - i, 1)::int * 2 end)) % 10 = 0"""
+_PERSONAL = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", "lower(hit)"),
+    ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", r"regexp_full_match(hit, '(0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])')", "hit"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", _LUHN, "digits"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "len(digits) between 9 and 15", "digits"),
+)
+PERSONAL_DATA = rf"""
+with d as (select row_number() over () rid, doc_id, coalesce(text, '') body from documents),
+total as (select count(*)::double n from d),
+b as ({" union all ".join(_personal(*k, rank=i) for i, k in enumerate(_PERSONAL))}),
+v as (select distinct rid, val from b),
+protected as (select val, count(*) df from v, total group by val, n having count(*) >= 3 and count(*) <= 0.01 * n),
+hits as (select rid, regexp_extract_all(body, '[\p{{L}}\p{{N}}]+') hits, string_split_regex(body, '[\p{{L}}\p{{N}}]+') gaps from d),
+places as (select rid, hit, (sum(len(gap) + len(hit)) over (partition by rid order by k))::bigint e
+           from (select rid, unnest(hits) hit, unnest(gaps[1:len(hits)]) gap, unnest(range(1, len(hits) + 1)) k from hits)),
+words as (select rid, lower(hit) term, regexp_replace(left(lower(hit), 3), '\p{{N}}', '0', 'g') || '*' form, e - len(hit) s, e from places),
+term_df as (select term, count(distinct rid) df from words group by term),
+form_df as (select form, count(distinct rid) df from words group by form),
+outside as (select w.* from words w where rid in (select rid from v join protected using (val))
+            and not exists (select 1 from b where b.rid = w.rid and b.s < w.e and b.e > w.s)),
+pairs as (select val, term, count(distinct rid) co from outside join v using (rid) join protected using (val) group by val, term),
+form_pairs as (select val, form, count(distinct rid) co from outside join v using (rid) join protected using (val) group by val, form),
+reveals as (select val, term from pairs join protected p using (val) join term_df t using (term), total
+            where co >= 3 and 1 - ln(t.df / co) / ln(n / p.df) >= 0.9),
+safe as (select val, form from form_pairs join protected p using (val) join form_df f using (form), total
+         where 1 - ln(f.df / co) / ln(n / p.df) < 0.9),
+added as (select o.rid, o.s, o.e, bool_and(length(o.term) > 3 and safe.form is not null) keeps
+          from outside o join v using (rid) join reveals r on r.val = v.val and r.term = o.term
+               left join safe on safe.val = v.val and safe.form = o.form group by o.rid, o.s, o.e),
+f as (select rid, rank, kind, s, e from b
+      union all select rid, case when keeps then 4 else 5 end, case when keeps then 'general' else 'removed' end, s, e from added),
+j as (select rid, count(*) filter (kind = 'email') n_email, count(*) filter (kind = 'ip') n_ip, count(*) filter (kind = 'card') n_card,
+             count(*) filter (kind = 'phone') n_phone, string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) filter (rank < 4) base,
+             string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) spans from f group by rid)
+select doc_id, coalesce(n_email, 0)::bigint n_email, coalesce(n_ip, 0)::bigint n_ip, coalesce(n_card, 0)::bigint n_card,
+       coalesce(n_phone, 0)::bigint n_phone, sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans
+from d left join j using (rid)
+"""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskmart.llm import (
-    bag_minhash, expected, feistel_shards, fuzzy_lines, line_quality, mixing, qda, redirects, secret_ledger,
-    sparse_suffixes, string_tiling)
+    bag_minhash, disclosure, expected, feistel_shards, fim_frames, fuzzy_lines, line_quality, mixing, qda, redirects,
+    secret_ledger, sparse_suffixes, string_tiling, whitening)
 from deskmart.session import new_folder
 
 # Fixed rules of the contract
@@ -73,10 +73,23 @@ def op10_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qda.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fim_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_frames.transform_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_term_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.find_disclosures(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_string_tiling, op2_line_frequency, op3_sparse_suffixes, op4_temperature_mix, op5_fuzzy_lines, op6_bag_minhash,
-        op7_secret_ledger, op8_feistel_shards, op9_redirect_groups, op10_quadratic_discriminant)
+        op7_secret_ledger, op8_feistel_shards, op9_redirect_groups, op10_quadratic_discriminant,
+        op11_embedding_whitening, op12_fim_frames, op13_term_disclosure)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_line_frequency": expected.LINE_FREQUENCY,
@@ -84,4 +97,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_bag_minhash": expected.NEAR_DUPLICATES,
     "op7_secret_ledger": expected.SECRETS,
     "op9_redirect_groups": expected.URL_VERDICTS,
+    "op12_fim_frames": expected.FILL_IN_MIDDLE,
+    "op13_term_disclosure": expected.PERSONAL_DATA,
 }

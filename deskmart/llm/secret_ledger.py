@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmart.llm.common import text_of, written
+from deskmart.llm.common import matches, text_of, written
 
 
 @dataclass(frozen=True)
@@ -27,36 +27,24 @@ BASE = (
     Rule("access", "1", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", "1", r"[0-9a-f]{24,}", 0, 24),  # the same as runs of any length, dropped below 24
 )
+# runs ahead of the telling character are bounded, so that a long run costs a bounded number of steps a character
 MORE = (
     Rule("pem", "1", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?"),
-    Rule("jwt", "1", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", "2", r"eyJ[A-Za-z0-9_-]{8,1000}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     Rule("github", "1", r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("login", "1", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@[^\s/:@]+"),
+    Rule("login", "2", r"[a-z][a-z0-9+.-]{0,31}+://[^\s/:@]+:[^\s/:@]+@[^\s/:@]+"),
 )
 RULES = BASE + MORE
 
 
 def spans(text: Column, rule: Rule) -> Column:
-    """array<struct<start, end>> of the rule's findings, in code points, end exclusive.
-
-    Splitting by the pattern gives the text between matches; running sums of both lengths give
-    positions. Only texts with a match pay for it.
-    """
-    hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    parts = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.part))
-    gaps = F.transform(F.split(text, rule.pattern, -1), lambda x: F.length(x))
-    zipped = F.arrays_zip(gaps.alias("gap"), F.transform(hits, lambda x: F.length(x)).alias("hit"),
-                          F.transform(parts, lambda x: F.length(x)).alias("part"))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("found"))
-    walked = F.aggregate(
-        zipped, start,
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.coalesce(x["hit"], F.lit(0))).alias("at"),
-            F.when(x["part"] >= rule.least, F.array_append(acc["found"], F.struct(
-                (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["hit"]).alias("end"))))
-            .otherwise(acc["found"]).alias("found")),
-        lambda acc: acc["found"])
-    return F.when(text.rlike(rule.pattern), walked)
+    """array<struct<start, end>> of the rule's findings, in code points, end exclusive. Only texts with a match pay for it."""
+    parts = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.part)) if rule.part else None
+    found = matches(text, rule.pattern)
+    if rule.part:
+        found = F.zip_with(found, parts, lambda m, part: F.struct(m["start"].alias("start"), m["end"].alias("end"), part.alias("hit")))
+    kept = F.filter(found, lambda m: F.length(m["hit"]) >= rule.least)
+    return F.when(text.rlike(rule.pattern), F.transform(kept, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))))
 
 
 def _labelled(found: Column, rule: Rule) -> Column:
