@@ -8,7 +8,7 @@ file split, and from one over the splits of its file, which have one short row e
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,9 +35,16 @@ def more_cells_than(record: Column, n: int) -> Column:
     return record.rlike(rf"\A(?:{_CELL},){{{n}}}")
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Every line by (file, start, line, part) with its own line break: LF, CRLF or CR."""
-    text = spark.read.option("lineSep", "\n").text([glob_free(p) for p in paths]).select(
+def cell_count(record: Column) -> Column:
+    """Cells of a record that ends outside quotes."""
+    quoted = F.regexp_count(record, F.lit(rf"\G{_CELL},"))
+    plain = F.length(record) - F.length(F.replace(record, F.lit(","), F.lit("")))
+    return F.when(record.contains('"'), quoted).otherwise(plain) + 1
+
+
+def _lines(spark: SparkSession, paths: Sequence[str], options: Mapping[str, str]) -> DataFrame:
+    """Every line by (file, start, line, part) with its own line break: LF, CRLF or CR; and what it does to the state."""
+    text = spark.read.options(**options).option("lineSep", "\n").text([glob_free(p) for p in paths]).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"), "value")
     crlf = F.col("value").endswith("\r")
@@ -46,7 +53,8 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return (text.withColumn("last", F.size(parts) - 1).withColumn("crlf", crlf)
             .select(*_SPLIT, "line", "last", "crlf", F.posexplode(parts).alias("part", "text"))
             .withColumn("end", F.when(F.col("part") < F.col("last"), "\r").when(F.col("crlf"), "\r\n").otherwise("\n"))
-            .drop("last", "crlf"))
+            .drop("last", "crlf")
+            .withColumns({"opens": F.col("text").rlike(ENDS_OPEN), "stays": F.col("text").rlike(_STAYS_OPEN)}))
 
 
 def _running(df: DataFrame, window, fixed: Column, to: Column, swap: Column) -> DataFrame:
@@ -64,33 +72,79 @@ def _state(ahead: Column) -> Column:
     return base != (times % 2 == 1)
 
 
-def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(file, start, number, record): every record that is not blank, the header being number 1.
+def _fixed() -> Column:
+    return F.col("opens") == F.col("stays")
+
+
+def _swap() -> Column:
+    return F.col("opens") & ~F.col("stays")
 
-    ``start`` is the file split in which the record begins. Lines are shuffled by file split, whose
-    size is bounded, and once more by record; no task reads a whole file. A quote that is never closed makes
-    the rest of its file one record.
-    """
-    lines = _lines(spark, paths).withColumns({
-        "opens": F.col("text").rlike(ENDS_OPEN), "stays": F.col("text").rlike(_STAYS_OPEN)})
-    fixed, swap = F.col("opens") == F.col("stays"), F.col("opens") & ~F.col("stays")
-    before = Window.partitionBy(*_SPLIT).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    lines = _running(lines, before, fixed, F.col("opens"), swap)
 
-    last = F.max(F.when(fixed, F.struct(*_ORDER, F.col("opens").alias("to"), F.col("swaps").alias("at")))).alias("fix")
-    splits = lines.groupBy(*_SPLIT).agg(F.sum(swap.cast("int")).alias("total"), last).withColumn(
-        "ends", F.when(F.col("fix").isNull(), F.col("total") % 2 == 1)
-        .otherwise(F.col("fix.to") != ((F.col("total") - F.col("fix.at")) % 2 == 1)))
+def _ahead(splits: DataFrame) -> DataFrame:
+    """Adds ``ahead``, the state in which a split begins, to one row per split (file, start, to, odd): the state that its
+    last fixing line leads to, if it has one, and whether an odd number of swaps follows."""
+    ends = F.col("to") != F.col("odd")
     earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = _running(splits, earlier, F.col("fix").isNotNull(), F.col("ends"),
-                     F.col("fix").isNull() & F.col("ends")).select(*_SPLIT, _state(F.lit(False)).alias("ahead"))
+    found = _running(splits, earlier, F.col("to").isNotNull(), ends, F.col("to").isNull() & F.col("odd"))
+    return found.withColumn("ahead", _state(F.lit(False))).drop("swaps", "known")
+
+
+def _located(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``inside``: whether a line begins inside a quoted cell. Lines are shuffled by file split."""
+    before = Window.partitionBy(*_SPLIT).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    lines = _running(lines, before, _fixed(), F.col("opens"), _swap())
+    last = F.max(F.when(_fixed(), F.struct(*_ORDER, F.col("opens").alias("to"), F.col("swaps").alias("at")))).alias("fix")
+    splits = lines.groupBy(*_SPLIT).agg(F.sum(_swap().cast("int")).alias("total"), last).select(
+        *_SPLIT, F.col("fix.to").alias("to"), ((F.col("total") - F.coalesce("fix.at", F.lit(0))) % 2 == 1).alias("odd"))
+    # one row per file split, so the broadcast is bounded by the number of splits
+    return lines.join(F.broadcast(_ahead(splits).select(*_SPLIT, "ahead")), list(_SPLIT)).withColumn(
+        "inside", _state(F.col("ahead"))).drop("ahead", "swaps", "known", "opens", "stays")
+
+
+def _begin(lines: DataFrame) -> DataFrame:
+    """(file, begin): where the last record of each file begins."""
+    return lines.where(~F.col("inside")).groupBy("file").agg(F.max(F.struct("start", *_ORDER)).alias("begin"))
 
-    inside = _state(F.col("ahead"))
+
+def unclosed(spark: SparkSession, paths: Sequence[str], options: Mapping[str, str] | None = None) -> DataFrame:
+    """(file, number): the files that end inside a quoted cell, and the line, from 1, in which their last record begins.
+
+    The state at the end of a file follows from two passes that move one row per file split: the last line of a split
+    after which the state is known, and the swaps behind that line. Only lines of files that
+    are broken are looked at again for the place.
+    """
+    lines = _lines(spark, paths, options or {})
+    fix = lines.where(_fixed()).groupBy(*_SPLIT).agg(F.max(F.struct(*_ORDER, F.col("opens").alias("to"))).alias("fix"))
+    behind = F.col("fix").isNull() | (F.struct(*_ORDER) > F.struct("fix.line", "fix.part"))
     # one row per file split, so the broadcast is bounded by the number of splits
-    lines = lines.join(F.broadcast(ahead), list(_SPLIT)).withColumn("inside", inside)
+    splits = (lines.join(F.broadcast(fix), list(_SPLIT), "left").groupBy(*_SPLIT)
+              .agg(F.any_value("fix.to").alias("to"), (F.count_if(_swap() & behind) % 2 == 1).alias("odd")))
+    ends = F.coalesce("to", "ahead") != F.col("odd")
+    final = _ahead(splits).groupBy("file").agg(F.max_by(ends, "start").alias("open"))
+    broken = final.where("open").select("file")
+    found = _located(lines.join(F.broadcast(broken), "file", "left_semi"))
+    upto = F.struct("start", *_ORDER) <= F.col("begin")
+    return found.join(F.broadcast(_begin(found)), "file").groupBy("file").agg(F.count_if(upto).alias("number"))
+
+
+def records(spark: SparkSession, paths: Sequence[str], options: Mapping[str, str] | None = None,
+            broken: Sequence[str] = ()) -> DataFrame:
+    """(file, start, number, record): every record that is not blank, the header being number 1.
+
+    ``start`` is the file split in which the record begins. Lines are shuffled by file split, whose
+    size is bounded, and once more by record; no task reads a whole file. A quote that is never closed makes
+    the rest of its file one record: the last record of the files of ``broken`` (see unclosed) is left out
+    before records are put together. ``options`` go to the reader.
+    """
+    lines = _located(_lines(spark, paths, options or {}))
+    if broken:
+        theirs = lines.where(F.col("file").isin(*broken))
+        lines = (lines.join(F.broadcast(_begin(theirs)), "file", "left")
+                 .where(F.col("begin").isNull() | (F.struct("start", *_ORDER) < F.col("begin"))).drop("begin"))
     lines = lines.where(F.col("inside") | (F.trim(F.translate("text", "\t", " ")) != ""))
     begins = (~F.col("inside")).cast("int")
     upto = Window.partitionBy(*_SPLIT).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     counted = lines.withColumn("own", F.sum(begins).over(upto))
     skipped = lines.groupBy(*_SPLIT).agg(F.sum(begins).alias("n")).select(
         *_SPLIT, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skip"))

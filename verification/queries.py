@@ -152,16 +152,51 @@ _HOSTILE_SQL = "case event_id % 8 " + " ".join(
 @register("a1_spanning_records", sql.from_source(
     f"select event_id, {_HOSTILE_SQL} as description from src"))
 def a1_spanning_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: one large file whose quoted cells hold line breaks of all kinds, quotes and commas."""
+    """A1: large files whose quoted cells hold line breaks of all kinds, quotes and commas."""
     def write(path: str) -> None:
         rows = raw_tickets(spark, sf_dir).select(
             F.col("event_id").alias("id"), "created_at", F.expr(_HOSTILE_SQL).alias("body"))
-        rows.coalesce(1).write.options(**tables.CSV_OUT, quoteAll=True).csv(path)
+        rows.repartitionByRange(3, "id").write.options(**tables.CSV_OUT, quoteAll=True).csv(path)
 
     frame = csv_ingest.ingest(spark, _once(spark, sf_dir, "spanning", write)).frame
     return frame.select(F.col("ticket_id").cast("bigint").alias("event_id"), "description")
 
 
+# Six layouts by event id, the last two in files that file sources pass over.
+_NUMBERED = ("0", "1", "2", "3", "_4", ".5")
+_NUMBERED_COLUMNS = (
+    {"event_id": "ref", "ticket_id": "id", "created_at": "created"}, {"created_at": "opened_at", "event_id": "ref", "ticket_id": "case id"},
+    {"status": "state", "event_id": "ref", "created_at": "created", "ticket_id": "id"}, {"event_id": "ref", "created_at": "submitted", "status": "status"},
+    {"priority": "urgency", "created_at": "created", "ticket_id": "id", "event_id": "ref"}, {"ticket_id": "id", "event_id": "ref", "created_at": "open date"})
+
+
+def _if_written(column: str) -> str:
+    having = ", ".join(str(i) for i, names in enumerate(_NUMBERED_COLUMNS) if column in names)
+    return f"case when event_id % 6 in ({having}) then {column} end as {column}"
+
+
+@register("a1_hidden_files", sql.from_source(
+    "select event_id, " + ", ".join(map(_if_written, ("ticket_id", "created_at", "status", "priority"))) + ", case event_id % 6 "
+    + " ".join(f"when {i} then '{name}'" for i, name in enumerate(_NUMBERED)) + " end as origin from src"))
+def a1_hidden_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A4: numbered files beside files with hidden names, each kind with headers of its own."""
+    def write(path: str) -> None:
+        files = spark._jvm.org.apache.hadoop.fs
+        system = files.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(files.Path(path))
+        for i, (name, columns) in enumerate(zip(_NUMBERED, _NUMBERED_COLUMNS)):
+            part = new_folder(spark, "part")
+            (raw_tickets(spark, sf_dir).where(f"event_id % 6 = {i}").select(*(F.col(c).alias(h) for c, h in columns.items()))
+             .write.options(**tables.CSV_OUT).csv(part))
+            written = [f.getPath() for f in system.listStatus(files.Path(part)) if f.getPath().getName().endswith(".csv")]
+            for k, file in enumerate(written):
+                system.rename(file, files.Path(f"{path}/{name}{k:05d}.csv"))
+
+    frame = csv_ingest.ingest(spark, _once(spark, sf_dir, "hidden", write)).frame
+    return frame.select(F.col("ref").cast("bigint").alias("event_id"), "ticket_id", "created_at", "status", "priority",
+                        F.regexp_extract("_source_file", r"^([_.]?[0-9])", 1).alias("origin"))
+
+
 # (rows of the layout, header, canonical column)
 _MAPPED = [("event_id % 2 = 0", c, c) for c in CANONICAL] + [
     ("event_id % 2 = 1", h, c) for h, c in
