@@ -50,6 +50,16 @@ def parse_datetime(text: Column) -> Column:
     Month before day wherever both are possible; day before month only for an impossible month.
     Instants with an offset become UTC wall-clock time; times outside FIRST .. LAST become null.
     """
+    return in_range(parse_any_year(text))
+
+
+def in_range(time: Column) -> Column:
+    """``time``, which should be a plain column as it is referred to three times; null outside FIRST .. LAST."""
+    return F.when(time.between(F.lit(FIRST).cast(_NTZ), F.lit(LAST).cast(_NTZ)), time)
+
+
+def parse_any_year(text: Column) -> Column:
+    """parse_datetime without the limits FIRST and LAST."""
     year_first = _ntz(F.substring_index(text, ".", 1))
     month_first = _ntz(F.regexp_replace(text, YEAR_LAST, "$4-$1-$3$5"))
     day_first = _ntz(F.regexp_replace(text, YEAR_LAST, "$4-$3-$1$5"))
@@ -57,11 +67,10 @@ def parse_datetime(text: Column) -> Column:
     zoned = F.regexp_replace(text, ZONED_MINUTE, "$1:00$2").try_cast("timestamp")
     instant = (F.when(text.rlike(ZONED), F.date_trunc("second", zoned))
                .when(text.rlike(WORDY), wordy))
-    found = (
+    return (
         F.when(text.rlike(YEAR_FIRST), year_first)
         .when(text.rlike(YEAR_LAST), F.coalesce(month_first, day_first))
         .otherwise(instant.cast(_NTZ)))
-    return F.when(found.between(F.lit(FIRST).cast(_NTZ), F.lit(LAST).cast(_NTZ)), found)
 
 
 def to_second(value: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskmart.functions.dates import parse_datetime
+from deskmart.functions.dates import in_range, parse_any_year, parse_datetime
 from deskmart.functions.numbers import to_count, to_number
 from deskmart.functions.text import present, strip, tidy_label, tidy_priority, tidy_status
 from deskmart.operators.ordinals import number_lines
@@ -63,23 +63,24 @@ def synthesize_ids(df: DataFrame, block: str, line: str) -> DataFrame:
 def clean_tickets(df: DataFrame) -> DataFrame:
     """Unified text frame (canonical names, extras allowed) to the typed ``raw_tickets`` layout.
 
-    One projection, no shuffle: rows stay in the partitions they were read into.
+    No shuffle: rows stay in the partitions they were read into. Times are parsed in a projection of their own, so that
+    the limits of the calendar look at a parsed column instead of parsing again.
     """
     prepare(df.sparkSession)
     derive = "first_response_at" not in df.columns and RESPONSE_HOURS_COLUMN in df.columns
     wanted = [*CANONICAL, RESPONSE_HOURS_COLUMN] if derive else list(CANONICAL)
     text = prepare_cells(project_columns(df, wanted))
-    typed = {c: parse_datetime(F.col(c)) for c in DATE_COLUMNS}
+    parsed = text.withColumns({c: parse_any_year(F.col(c)) for c in DATE_COLUMNS})
+    typed = {c: in_range(F.col(c)) for c in DATE_COLUMNS}
     if derive:
-        typed["first_response_at"] = response_from_hours(
-            parse_datetime(F.col("created_at")), F.col(RESPONSE_HOURS_COLUMN))
+        typed["first_response_at"] = response_from_hours(typed["created_at"], F.col(RESPONSE_HOURS_COLUMN))
     typed |= {c: tidy_label(F.col(c)) for c in _LABELS}
     typed["status"] = tidy_status(F.col("status"))
     typed["priority"] = tidy_priority(F.col("priority"))
     typed["satisfaction_score"] = to_number(F.col("satisfaction_score"))
     typed["reopen_count"] = to_count(F.col("reopen_count"))
-    return text.select(*(typed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
-                         for f in RAW_TICKETS))
+    return parsed.select(*(typed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
+                           for f in RAW_TICKETS))
 
 
 def unparseable_dates(df: DataFrame) -> DataFrame:

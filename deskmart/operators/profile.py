@@ -73,10 +73,11 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
     columns = list(columns or profiled_columns(df))
     value, n = F.col("value"), F.col("n")
     number = to_number(strip(value))
-    # a digest keeps neither numbers nor date shapes nor truth values, so only other texts get one
-    long_text = ((F.length(value) > _DIGEST_OVER) & number.isNull() & (date_shape(value) == "other")
-                 & ~F.lower(strip(value)).isin("true", "false"))
-    key = F.when(long_text, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(value)
+    # a digest keeps neither numbers nor date shapes nor truth values, so only other texts get one; short cells, the
+    # first branch, never meet a pattern
+    plain = number.isNull() & (date_shape(value) == "other") & ~F.lower(strip(value)).isin("true", "false")
+    key = (F.when(F.length(value) <= _DIGEST_OVER, value)
+           .when(plain, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(value))
     if approximate:
         counted = _long(df, columns).select(
             "column_name", "value", F.lit(1).cast("bigint").alias("n"))

@@ -147,6 +147,37 @@ def test_written_star_and_csv_round_trip(spark, tickets, tmp_path):
         assert sorted(map(str, back.collect())) == want
 
 
+def test_an_interrupted_rebuild_leaves_the_star_whole(spark, tickets, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    created = datetime(2024, 3, 1)
+    old = tickets(*({"created_at": created, "agent_name": f"a{i}"} for i in range(3)))
+    new = tickets(*({"created_at": created, "agent_name": f"b{i}"} for i in range(5)))
+    with pytest.raises(FileNotFoundError):
+        tables.read_tables(spark, path, AS_OF)
+    raw, star = tables.build_tables(old, path, AS_OF)
+    finished = tables._write_tables
+
+    def stopped(built, folder):  # raw tickets, the fact and one dimension are written when the build ends
+        for name in ("fact_tickets", "dim_agent"):
+            built.tables()[name].write.parquet(f"{folder}/{name}")
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(tables, "_write_tables", stopped)
+    with pytest.raises(KeyboardInterrupt):
+        tables.build_tables(new, path, AS_OF)
+    raw, star = tables.read_tables(spark, path, AS_OF)
+    assert raw.count() == star.fact.count() == 3 and star.agent.where("agent_name like 'a%'").count() == 3
+    monkeypatch.setattr(tables, "_write_tables", finished)
+    later, newer = tables.build_tables(new, path, AS_OF)
+    assert later.count() == newer.fact.count() == 5 and newer.agent.where("agent_name like 'a%'").count() == 0
+    assert star.fact.count() == 3  # frames of the rebuild before stay valid
+    tables.build_tables(old, path, AS_OF)
+    assert len(tables._commits(spark, path)) == 3 and tables.read_tables(spark, path, AS_OF)[0].count() == 3
+    kept = [v for _, v in tables._commits(spark, path)[-2:]]
+    there = {p.name for p in (tmp_path / tables.VERSIONS).iterdir()}
+    assert set(kept) <= there and tables._commits(spark, path)[0][1] not in there
+
+
 def test_result_does_not_depend_on_partitioning(tickets):
     rng = random.Random(2)
     rows = [dict(created_at=T0 + timedelta(hours=rng.randint(0, 300)), priority=rng.choice("abc"),
