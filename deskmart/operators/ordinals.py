@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deskmart.session import new_folder
+
 # Up to this many short rows are numbered by one sorted window in a single task.
 SINGLE_TASK_ROWS = 200_000
-_SAMPLED_SPLITS = 1_000
+MEMBERS_PER_TASK = 100_000
 
 
 def _before(size: str, *order: str) -> Column:
@@ -51,29 +53,25 @@ def dense_keys(members: DataFrame, order: Sequence[Column], out: str, rows: int,
                limit: int | None = None) -> DataFrame:
     """Number distinct members 1..n by ``order``; ``rows`` is their known count.
 
-    Small sets use one window. Large ones are cut at sampled members into ordered buckets; the
-    buckets are numbered independently and shifted by the size of the buckets before them. Which
-    members were sampled affects balance only, never the keys.
+    Small sets use one window. Large ones are dealt by range to sorted partitions of about MEMBERS_PER_TASK, each
+    member's place in its partition is written with it below the shared folder, so that it holds when an executor is
+    lost, and the size of the partitions before is added. Where the ranges were cut affects balance only,
+    never the keys.
     """
     limit = SINGLE_TASK_ROWS if limit is None else limit
     if rows <= limit:
         return members.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("int"))
-    step = max(1, rows // _SAMPLED_SPLITS)
-    names = [f"_o{i}" for i in range(len(order))]
-    position = F.struct(*(c.alias(n) for c, n in zip(order, names)))
-    keyed = members.withColumn("_order", position)
-    chosen = keyed.where(F.pmod(F.xxhash64("_order"), F.lit(step)) == 0).select("_order.*")
-    # a bounded handful of cut points, embedded in the plan as literals
-    cuts = sorted(tuple(r) for r in chosen.limit(4 * _SAMPLED_SPLITS).collect())
-    splits = F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(cut, names)))
-                       for cut in cuts))
-    bucket = F.size(F.filter(splits, lambda s: s <= F.col("_order"))) if cuts else F.lit(0)
-    bucketed = keyed.withColumn("_bucket", bucket)
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select("_bucket", _before("_size", "_bucket").alias("_offset"))
-    inside = Window.partitionBy("_bucket").orderBy("_order")
-    return (
-        bucketed.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets, "_bucket", "left")
-        .withColumn(out, (F.col("_offset") + F.col("_rank")).cast("int"))
-        .drop("_order", "_bucket", "_offset", "_rank"))
+    parts = max(2, -(-rows // min(MEMBERS_PER_TASK, limit)))
+    placed = (members.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+              .withColumn("_part", F.spark_partition_id())
+              # the lower 33 bits count the rows of a partition
+              .withColumn("_rank", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1))
+    path = new_folder(members.sparkSession, out)
+    placed.write.parquet(path)
+    placed = members.sparkSession.read.schema(placed.schema).parquet(path)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select("_part", _before("_size", "_part").alias("_offset"))
+    # one short row per partition bounds the broadcast
+    return (placed.join(F.broadcast(offsets), "_part")
+            .withColumn(out, (F.col("_offset") + F.col("_rank")).cast("int"))
+            .drop("_part", "_offset", "_rank"))

@@ -235,7 +235,13 @@ def evaluate(star: Star, measures: Sequence[str], by: Sequence[str] = (),
         grouped = fact.groupBy(*grouping).agg(*_base_aggregates(bases, as_of))
     else:
         grouped = cube.groupBy(*grouping).agg(*_combined([b for b in bases if b != _DISTINCT_AGENTS]))
-    if keys:
+    return _finished(star, grouped, by, chosen, bases, bool(keys))
+
+
+def _finished(star: Star, grouped: DataFrame, by: Sequence[str], chosen: Sequence[Measure], bases: Sequence[str],
+              keyed: bool) -> DataFrame:
+    """Base aggregates by surrogate key to the measures by member."""
+    if keyed:
         for dim, key, fact_key in dict.fromkeys(_DIM_OF[name] for name in by if name in _DIM_OF):
             wanted = [name for name in by if _DIM_OF.get(name, ("",))[0] == dim]
             members = getattr(star, dim).select(F.col(key).alias(fact_key), *wanted)
@@ -245,6 +251,39 @@ def evaluate(star: Star, measures: Sequence[str], by: Sequence[str] = (),
         *by, *(m.formula(*(F.col(b) for b in m.bases)).alias(m.name) for m in chosen))
 
 
+# What can be said of open tickets at any later time, and from which base aggregates.
+_OPEN_BASES = ("tickets", "backlog", "at_risk", "oldest_days")
+_OPEN_KEYS = ("created_date_key", "agent_key", "category_key", "channel_key", "priority_key", "sla_target_hours", "status")
+
+
+def open_tickets(star: Star, context: FilterContext | None = None) -> DataFrame:
+    """Open tickets counted by the hour they were created in, their members, target and status.
+
+    Ageing goes by clock hours and days, so this table answers it for every later clock without the fact. It is
+    additive: the counts of further tickets can be appended, those of resolved ones with a minus sign.
+    """
+    hour = F.date_trunc("hour", "created_at").cast("timestamp_ntz").alias("created_hour")
+    return (context or FilterContext()).apply(star).where(~_resolved()).groupBy(hour, *_OPEN_KEYS).agg(
+        F.count(F.lit(1)).alias("tickets"))
+
+
+def evaluate_open(star: Star, opened: DataFrame, measures: Sequence[str], by: Sequence[str], as_of: datetime) -> DataFrame:
+    """``evaluate`` over open tickets only, from ``opened`` (of open_tickets), as of any time. The fact is not read."""
+    chosen = [MEASURES[name] for name in measures]
+    bases = list(dict.fromkeys(base for m in chosen for base in m.bases))
+    if unknown := [m.name for m in chosen if not set(m.bases) <= set(_OPEN_BASES)]:
+        raise ValueError(f"open tickets do not tell {', '.join(unknown)}")
+    rows = (opened.groupBy("created_hour", *_OPEN_KEYS).agg(F.sum("tickets").alias("n")).where("n <> 0")
+            .withColumn("created_at", F.col("created_hour")).withColumn("resolved_at", F.lit(None).cast("timestamp_ntz")))
+    own = {"live_age_band": live_age_band(as_of), "status": F.col("status")}
+    keys = {_DIM_OF[name][2]: None for name in by if name in _DIM_OF}
+    grouping = [*keys, *(own[name].alias(name) for name in by if name not in _DIM_OF)]
+    counted = {base: F.coalesce(F.sum(F.when(_COUNTS[base](as_of), F.col("n"))), F.lit(0)).cast("bigint") for base in bases if base in _COUNTS}
+    counted |= {base: F.max(_MAXIMA[base](as_of)) for base in bases if base in _MAXIMA}
+    grouped = rows.groupBy(*grouping).agg(*(counted[base].alias(base) for base in bases))
+    return _finished(star, grouped, by, chosen, bases, bool(keys))
+
+
 def formatted(df: DataFrame) -> DataFrame:
     """The dashboard's number formats as text; other columns stay as they are."""
     def shown(name: str) -> Column:

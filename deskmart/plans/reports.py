@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from deskmart.operators.fact import Star
 from deskmart.plans.context import FilterContext
-from deskmart.plans.measures import base_cube, evaluate
+from deskmart.plans.measures import base_cube, evaluate, evaluate_open
 from deskmart.schemas import RESOLVED_BAND
 from deskmart.session import new_folder
 
@@ -81,8 +81,11 @@ def csat_by_category(star: Star, context: Context = None, cube: Cube = None) ->
             .where(F.col("avg_csat").isNotNull()).orderBy("avg_csat", "category_name"))
 
 
-def live_aging(star: Star, as_of: datetime, context: Context = None) -> DataFrame:
-    """Bands as of the report instead of the build."""
+def live_aging(star: Star, as_of: datetime, context: Context = None, opened: Cube = None) -> DataFrame:
+    """Bands as of the report instead of the build; from ``opened`` (of open_tickets, same context) without a scan
+    of the fact."""
+    if opened is not None:
+        return evaluate_open(star, opened, ["total_tickets"], ["live_age_band"], as_of)
     return evaluate(star, ["total_tickets"], ["live_age_band"], context, as_of).where(
         F.col("live_age_band") != RESOLVED_BAND)
 

@@ -3,12 +3,13 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import AS_OF
+from pyspark.sql import functions as F
 
 from deskmart.operators import checks
 from deskmart.operators.fact import build_star
 from deskmart.plans import reports
 from deskmart.plans.context import FilterContext
-from deskmart.plans.measures import MEASURES, evaluate, formatted
+from deskmart.plans.measures import MEASURES, evaluate, evaluate_open, formatted, open_tickets
 from deskmart.sources import tables
 
 T0 = datetime(2024, 3, 12, 9)
@@ -128,6 +129,29 @@ def test_live_bands_move_with_the_clock(tickets):
     assert reports.live_aging(star, AS_OF + timedelta(days=5)).head()[0] == "3-7 Days"
 
 
+def test_open_tickets_answer_every_later_clock(spark, tickets, tmp_path):
+    rng = random.Random(8)
+    rows = [dict(created_at=None if i % 17 == 0 else AS_OF - timedelta(minutes=rng.randrange(40_000)), priority=rng.choice(["Critical", "Low", None]),
+                 resolved_at=AS_OF if i % 3 == 0 else None, team=f"t{i % 4}", agent_name=f"a{i % 5}", status="Open") for i in range(300)]
+    star = build_star(tickets(*rows), AS_OF)
+    open_tickets(star).write.parquet(str(tmp_path / "open"))
+    opened = spark.read.parquet(str(tmp_path / "open"))
+    plan = evaluate_open(star, opened, ["backlog_count"], ["team"], AS_OF)._jdf.queryExecution().toString()
+    assert "resolution_seconds" not in plan
+    for later in (AS_OF, AS_OF + timedelta(hours=7, minutes=40), AS_OF + timedelta(days=9, seconds=1)):
+        for by in ([], ["live_age_band"], ["team", "live_age_band"], ["status", "priority_name"]):
+            names = ["backlog_count", "sla_at_risk", "oldest_open_days"]
+            want = evaluate(star, names, by, as_of=later).where("backlog_count > 0")
+            got = evaluate_open(star, opened, names, by, later)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        bands = {tuple(r) for r in reports.live_aging(star, later, opened=opened).collect()}
+        assert bands == {tuple(r) for r in reports.live_aging(star, later).collect()}
+    more = opened.union(open_tickets(star)).union(opened.withColumn("tickets", -F.col("tickets")))  # additive
+    assert evaluate_open(star, more, ["backlog_count"], [], AS_OF).head()[0] == opened.agg(F.sum("tickets")).head()[0]
+    with pytest.raises(ValueError, match="mttr_hours"):
+        evaluate_open(star, opened, ["mttr_hours"], [], AS_OF)
+
+
 def test_matrix_merges_teams_and_sorts_worst_first(star, rows):
     matrix = reports.agent_matrix(star).collect()
     assert {r["agent_name"] for r in matrix} == {"Ann", "Bob", "(Unassigned)"}
