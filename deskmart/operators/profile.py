@@ -1,8 +1,7 @@
 """Data profiling of unified text tickets (C3-C9), every section a DataFrame.
 
 One pass counts each distinct value per column; nulls, distinct counts, types, numeric statistics
-and date formats all follow from that table. Only samples look at rows again, and then only at the
-few file blocks that hold them.
+and date formats all follow from that table. Samples take one more pass, whose tasks keep a bounded number of cells.
 """
 
 from __future__ import annotations
@@ -143,34 +142,19 @@ def date_formats(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
 
 
 def first_values(df: DataFrame, limit: int, columns: Sequence[str] | None = None) -> DataFrame:
-    """First ``limit`` non-null values per column in (file block, line) order.
+    """First ``limit`` non-null values per column in (file block, line) order, in one scan.
 
-    Each block with a value contributes at least one, so the first ``limit`` such blocks of a
-    column hold all that is wanted. They are found in two steps, within buckets and then among the
-    winners, so that no task sorts all blocks of a column. Only those blocks are read for values.
+    A rank that is limited lets each task keep no more than ``limit`` cells per column and bucket of blocks ahead of the
+    shuffle. Buckets are ranked on their own first, so that the last step, one task a column, meets
+    no more than ``limit`` cells of each bucket, however many blocks there are.
     """
     columns = list(columns or profiled_columns(df))
-    values = _long(df, columns).where(F.col("value").isNotNull())
-    sizes = values.groupBy("column_name", BLOCK).agg(F.count(F.lit(1)).alias("n"))
-
-    def first_blocks(blocks: DataFrame, *group: str) -> DataFrame:
-        by_block = Window.partitionBy(*group).orderBy(BLOCK)
-        return blocks.withColumn("rank", F.row_number().over(by_block)).where(
-            F.col("rank") <= limit).drop("rank")
-
-    bucketed = sizes.withColumn("bucket", F.pmod(F.xxhash64(BLOCK), F.lit(_BUCKETS)))
-    needed = first_blocks(first_blocks(bucketed, "column_name", "bucket"), "column_name")
-    earlier = Window.partitionBy("column_name").orderBy(BLOCK).rowsBetween(
-        Window.unboundedPreceding, -1)
-    needed = needed.select(
-        "column_name", BLOCK, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
-    ).where(F.col("before") < limit)
-    inside = Window.partitionBy("column_name", BLOCK).orderBy(LINE)
-    # at most ``limit`` rows per column, hence small enough to broadcast
-    chosen = values.join(F.broadcast(needed), ["column_name", BLOCK]).withColumn(
-        "rank", F.row_number().over(inside)).where(F.col("rank") <= limit)
-    return chosen.withColumn("ordinal", (F.col("before") + F.col("rank")).cast("int")).where(
-        F.col("ordinal") <= limit).select("column_name", "ordinal", "value")
+    cells = _long(df, columns).where(F.col("value").isNotNull()).withColumn(
+        "bucket", F.pmod(F.xxhash64(BLOCK), F.lit(_BUCKETS)))
+    for group in (["column_name", "bucket"], ["column_name"]):
+        order = Window.partitionBy(*group).orderBy(BLOCK, LINE)
+        cells = cells.withColumn("ordinal", F.row_number().over(order)).where(F.col("ordinal") <= limit)
+    return cells.select("column_name", "ordinal", "value")
 
 
 def samples(df: DataFrame, limit: int = 10) -> DataFrame:
