@@ -224,10 +224,12 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> tu
     """
     signed = written(signed_documents(docs), "signed")
     rep = F.struct("doc_id", *KEY)
-    classes = written(signed.groupBy("words_a", "words_b").agg(F.min(rep).alias("rep"), F.max("n").alias("n"))
-                      .withColumn("class_no", F.monotonically_increasing_id()), "classes")
+    # equal words have equal bands
+    classes = written(signed.groupBy("words_a", "words_b").agg(
+        F.min(rep).alias("rep"), F.max("n").alias("n"), F.any_value("bands").alias("bands"))
+        .withColumn("class_no", F.monotonically_increasing_id()), "classes")
     rows = signed.join(classes.select("words_a", "words_b", "class_no"), ["words_a", "words_b"])
-    members = written(rows.select("class_no", F.explode("bands").alias("bucket")).distinct(), "members")
+    members = classes.select("class_no", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = written(members.join(sizes, "bucket"), "shared")
     central = members.groupBy("class_no").agg(F.sum("size").alias("central"))

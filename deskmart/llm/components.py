@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from deskmart.llm.common import written
@@ -31,18 +31,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Both stars replace edges by edges to a node's least neighbour, so a hub is one aggregate with
     map-side combine and the joins are plain equi-joins that adaptive execution can split. Each
-    round is written below the shared checkpoint folder; only two counters reach the driver. Rounds
-    are about logarithmic in the longest path.
+    round is one job: it is written below the shared checkpoint folder, and two sums that tell whether edges changed are
+    observed while it is written. Rounds are about logarithmic in the longest path.
     """
-    edges = written(
-        edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"),
-                                         F.least("src", "dst").alias("dst")).distinct(), "edges")
+    edges = edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
     before = None
     while True:
-        edges = written(_small_star(_large_star(edges).distinct()).distinct(), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        if tuple(state) == before:
+        seen = Observation()
+        moved = _small_star(_large_star(edges)).distinct().observe(
+            seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")).alias("sum"))
+        edges = written(moved, "edges")
+        state = (seen.get["n"], seen.get["sum"])
+        if state == before:
             break
-        before = tuple(state)
+        before = state
     nodes = edges.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     return nodes.union(edges.select("dst", "dst").distinct())
