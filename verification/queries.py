@@ -7,7 +7,7 @@ a dashboard reads the tables of the latest build.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from deskmart.functions.dates import as_text, parse_datetime
 from deskmart.functions.numbers import to_count, to_number
 from deskmart.functions.text import strip, tidy_label, tidy_priority, tidy_status
-from deskmart.operators import checks, profile
+from deskmart.operators import checks, layouts, profile
 from deskmart.operators.clean import (
     clean_tickets, prepare_cells, present_cells, project_columns, synthesize_ids, unparseable_dates,
 )
@@ -434,6 +434,48 @@ def b1_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(stripped.select("event_id", parse_datetime(F.col("text")).alias("parsed")))
 
 
+# What five files write, the moment it stands for, and which events they hold
+_FILE_LAYOUTS = (
+    ("dd/MM/yyyy HH:mm", _TO_MINUTE, "true"), ("M/d/yyyy h:mm a", _TO_MINUTE, "true"), ("d.M.yyyy", _midnight("ts"), "true"),
+    ("dd-MM-yy", _midnight("ts"), "true"), ("M/d/yyyy", _midnight("ts"), "day(ts) <= 12"))
+
+
+def _file_of(event: str, values: Sequence[str]) -> str:
+    return f"case {event} % 5 " + " ".join(f"when {i} then {v}" for i, v in enumerate(values)) + " end"
+
+
+def _layout_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    text = F.lit(None).cast("string")
+    for i, (pattern, _, held) in enumerate(_FILE_LAYOUTS):
+        text = F.when((F.col("event_id") % 5 == i) & F.expr(held), F.date_format("ts", pattern)).otherwise(text)
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", F.concat(F.lit(" "), text).alias("created_at"), F.concat((F.col("event_id") % 5).cast("string"), F.lit(".csv")).alias("_source_file"))
+
+
+@register("b1_inferred_layouts", "select event_id, strftime(" + _file_of(
+    "event_id", [f"case when {held} then {moment} end" for _, moment, held in _FILE_LAYOUTS])
+    + ", '%Y-%m-%d %H:%M:%S') as created_at from events")
+def b1_inferred_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: every event time in the layout of its file, days or months first, told by evidence."""
+    files = _layout_files(spark, sf_dir)
+    read = layouts.apply_layouts(files, layouts.choose_layouts(layouts.date_masks(files)))
+    return comparable(read.select("event_id", parse_datetime(strip(F.col("created_at"))).alias("created_at")))
+
+
+@register("b1_date_masks", "select event_id % 5 || '.csv' as file, mask, first, evidence, cast(count(*) as bigint) as n from "
+          "(select *, " + _file_of("event_id", ("'n/n/y n:n'", "'n/n/y n:n a'", "'n.n.y'", "'n-n-n'", "'n/n/y'")) + " as mask, "
+          + _file_of("event_id", ("'day'", "'month'", "'day'", "'day'", "'month'")) + " as first, "
+          + _file_of("event_id", ("'certain'",) * 4 + ("'ambiguous'",)) + " as evidence from events where event_id % 5 < 4 or day(ts) <= 12) "
+          "group by all")
+def b1_date_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: shapes of all cells per file, the order chosen and how sure it is."""
+    masks = layouts.date_masks(_layout_files(spark, sf_dir))
+    chosen = layouts.choose_layouts(masks).select("_source_file", "separator", "first", "evidence")
+    return masks.join(chosen, ["_source_file", "separator"]).select(
+        F.col("_source_file").alias("file"), "mask", "first", "evidence", "n")
+
+
 @register("b2_unparseable_dates", sql.from_cells(" union all ".join(
     f"select '{c}' as column_name, cast(count(*) filter (where {c} is not null and "
     f"{sql.parse(c)} is null) as bigint) as unparseable from cells" for c in DATE_COLUMNS)))
