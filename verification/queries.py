@@ -626,6 +626,28 @@ def c3_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(profile.null_counts(profile.column_stats(_unified(spark, sf_dir))))
 
 
+_STORED = ("created_at", "priority", "satisfaction_score", "reopen_count", "status")
+
+
+@register("c3_stored_profile", sql.from_source(" union all ".join(
+    f"select '{c}' as column_name, cast(count(*) as bigint) as total, cast(count(*) - count(v) as bigint) as nulls, "
+    f"min(try_cast(v as double)) as min, max(try_cast(v as double)) as max, true as distinct_close from "
+    f"(select case when {c} not in ({sql.quoted(sql.NA_TOKENS)}) then trim({c}) end as v from src)" for c in _STORED)))
+def c3_stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged profile after two updates, the second of which reads the later files only."""
+    def write(path: str) -> None:
+        for k in (0, 1):
+            tickets = raw_tickets(spark, sf_dir).where(f"event_id % 3 = 0 = ({k} = 0)").select("ticket_id", *_STORED)
+            tickets.write.mode("append").options(**tables.CSV_OUT).csv(f"{path}/in")
+            csv_ingest.StoredProfile(spark, f"{path}/store").update(f"{path}/in")
+
+    folder = _once(spark, sf_dir, "stored", write)
+    merged = csv_ingest.StoredProfile(spark, f"{folder}/store").columns()
+    counted = profile.column_stats(raw_tickets(spark, sf_dir).select(*_STORED)).select("column_name", F.col("distinct_values").alias("n"))
+    return merged.join(counted, "column_name").select(
+        "column_name", "total", "nulls", "min", "max", (F.abs(F.col("distinct_values") - F.col("n")) <= 0.03 * F.col("n")).alias("distinct_close"))
+
+
 @register("c4_column_types", _per_column(
     lambda c: f"select '{c}' as column_name, case "
     f"when bool_and(regexp_full_match(trim({c}), '[+-]?\\d+') and ({c} is null or try_cast(trim({c}) as bigint) is not null)) "
