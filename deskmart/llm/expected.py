@@ -95,17 +95,29 @@ select doc_id, coalesce(n_assign, 0)::bigint n_assign, coalesce(n_access, 0)::bi
 from d left join j using (rid)
 """
 
-URL_VERDICTS = r"""
+_URL_RULES = r"""
 with recursive
 rules(name, host, path, verdict) as (values ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
   ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
-links as (
-  select distinct src, case when target like '%://%' then target
-                            when regexp_matches(target, '^/([^/]|$)') then regexp_extract(src, '(?s)^(.*?://[^/?#]*)', 1) || target end dst
-  from (select url src, replace(coalesce(nullif(regexp_extract(
-            regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0), '(?i)href\s*=\s*["'']?([^"''\s>]+)', 1), ''),
-          nullif(regexp_extract(html, '(?is)<meta\b[^>]*http-equiv\s*=\s*["'']?refresh\b[^>]*?url\s*=\s*["'']?([^"''\s>]+)', 1), '')), '&amp;', '&') target
-        from pages where url is not null)),
+tags as (select distinct url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) tag from pages where url is not null),
+declared as (
+  select url, replace(regexp_extract(tag, '(?is)[^\w-]href\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') target from tags
+  where regexp_matches(tag, '(?is)^<link\b.*?[^\w-]rel\s*=\s*(?:"[^">]*?\bcanonical\b|''[^''>]*?\bcanonical\b|canonical\b)')
+  union select url, replace(regexp_extract(tag, '(?is)[^\w-]content\s*=[^>]*?\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') from tags
+  where regexp_matches(tag, '(?is)^<meta\b.*?[^\w-]http-equiv\s*=\s*["'']?\s*refresh\b')),
+seen as (select url, target, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) origin, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) here,
+                regexp_extract(target, '(?s)^([^?#]*)', 1) own from declared),
+full_path as (select *, case when starts_with(target, '/') then own else '/' || regexp_extract(here, '(?s)^/(.*/)', 1) || own end whole from seen),
+links as (select distinct url src, case
+    when regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') then target
+    when regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') or origin = '' or target = '' then null
+    when starts_with(target, '//') then regexp_extract(url, '(?s)^(.*?:)//', 1) || target
+    when starts_with(target, '#') then regexp_extract(url, '(?s)^([^#]*)', 1) || target
+    when starts_with(target, '?') then origin || here || target
+    else origin || list_reduce(string_split(whole, '/'), lambda acc, part: case part when '..' then regexp_replace(acc, '/[^/]*$', '')
+                                                                                    when '.' then acc else acc || '/' || part end)
+                || case when regexp_matches(whole, '/\.\.?$') then '/' else '' end || substr(target, length(own) + 1) end dst from full_path
+  EDGES),
 urls as (select url from pages where url is not null union select src from links where dst is not null union select dst from links where dst is not null),
 parts as (select url, regexp_replace(lower(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)), '([^:0-9]):(80|443)$', '\1') host,
                  regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) path, regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1) query from urls),
@@ -123,6 +135,11 @@ said as (select node, min(verdict) verdict from reach join own on own.url = othe
 select page_id, coalesce(site.host, '') host, coalesce(site.path, '') path, own.rule, coalesce(own.verdict, said.verdict, 'allow') verdict
 from pages left join site using (url) left join own using (url) left join said on said.node = pages.url
 """
+URL_VERDICTS = _URL_RULES.replace("EDGES", "")
+# Addresses that share their path lead to the first of them
+MIRROR_VERDICTS = _URL_RULES.replace("EDGES", """union select url, min(url) over (partition by regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1))
+  from pages where url like '%://%'""")
+
 
 FILL_IN_MIDDLE = r"""
 with d as (select row_number() over () rid, doc_id, coalesce(text, '') body, sha256('7:' || coalesce(doc_id::varchar, '')) h from documents),

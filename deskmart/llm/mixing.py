@@ -145,7 +145,8 @@ def mix_schedule(docs: DataFrame, source: str = "source", target: Target = Targe
     walked = _offsets(shown)
     begin = F.col("epoch") * F.col("own_tokens") + F.col("start")
     end = begin + F.col("tokens") * F.col("copies")
-    block = F.least(F.floor(begin * blocks / F.col("budget")), F.lit(blocks - 1))
+    # least() passes over nulls, so sources without a budget are told apart first
+    block = F.when(F.col("budget").isNotNull(), F.least(F.floor(begin * blocks / F.col("budget")), F.lit(blocks - 1)))
     return (walked.where(F.col("budget").isNull() | (end <= F.col("budget")))
             .withColumn("block", F.coalesce(block, F.lit(0)).cast("int"))
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))

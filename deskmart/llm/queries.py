@@ -69,6 +69,16 @@ def op9_redirect_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def url_mirror_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator of op9 with redirects: every address leads to the first one of the same path, on any host, so that
+    decisions spread from addresses with a rule to addresses without."""
+    pages = table(spark, sf_dir, "pages")
+    known = pages.where("url like '%://%'").select("url", redirects.path_of(F.col("url")).alias("path"))
+    first = known.groupBy("path").agg(F.min("url").alias("dst"))
+    judged = redirects.judge_pages(pages, URL_RULES, known.join(first, "path").select(F.col("url").alias("src"), "dst"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qda.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -89,7 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_string_tiling, op2_line_frequency, op3_sparse_suffixes, op4_temperature_mix, op5_fuzzy_lines, op6_bag_minhash,
         op7_secret_ledger, op8_feistel_shards, op9_redirect_groups, op10_quadratic_discriminant,
-        op11_embedding_whitening, op12_fim_frames, op13_term_disclosure)
+        op11_embedding_whitening, op12_fim_frames, op13_term_disclosure, url_mirror_groups)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_line_frequency": expected.LINE_FREQUENCY,
@@ -97,6 +107,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_bag_minhash": expected.NEAR_DUPLICATES,
     "op7_secret_ledger": expected.SECRETS,
     "op9_redirect_groups": expected.URL_VERDICTS,
+    "url_mirror_groups": expected.MIRROR_VERDICTS,
     "op12_fim_frames": expected.FILL_IN_MIDDLE,
     "op13_term_disclosure": expected.PERSONAL_DATA,
 }
