@@ -99,11 +99,11 @@ _URL_RULES = r"""
 with recursive
 rules(name, host, path, verdict) as (values ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
   ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
-tags as (select distinct url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) tag from pages where url is not null),
+tags as (select distinct url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^<>]*>')) tag from pages where url is not null),
 declared as (
   select url, replace(regexp_extract(tag, '(?is)[^\w-]href\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') target from tags
   where regexp_matches(tag, '(?is)^<link\b.*?[^\w-]rel\s*=\s*(?:"[^">]*?\bcanonical\b|''[^''>]*?\bcanonical\b|canonical\b)')
-  union select url, replace(regexp_extract(tag, '(?is)[^\w-]content\s*=[^>]*?\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') from tags
+  union select url, replace(regexp_extract(tag, '(?is)[^\w-]content\s*=[^>]{0,100}?\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') from tags
   where regexp_matches(tag, '(?is)^<meta\b.*?[^\w-]http-equiv\s*=\s*["'']?\s*refresh\b')),
 seen as (select url, target, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) origin, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) here,
                 regexp_extract(target, '(?s)^([^?#]*)', 1) own from declared),

@@ -57,11 +57,13 @@ def plain_address(url: Column) -> Column:
     return F.when(url.contains("://"), F.concat(page, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
-_TAGS = r"(?is)<(?:link|meta)\b[^>]*>"
+# a tag ends ahead of the next one, and an address stands near the beginning of a refresh, so that tags that never
+# end and long runs are searched in linear time
+_TAGS = r"(?is)<(?:link|meta)\b[^<>]*>"
 _CANONICAL = r"""(?is)^<link\b.*?(?<![\w-])rel\s*=\s*(?:"[^">]*?\bcanonical\b|'[^'>]*?\bcanonical\b|canonical\b)"""
 _HREF = r"""(?is)(?<![\w-])href\s*=\s*["']?\s*([^"'\s>]+)"""
 _REFRESH = r"""(?is)^<meta\b.*?(?<![\w-])http-equiv\s*=\s*["']?\s*refresh\b"""
-_URL = r"""(?is)(?<![\w-])content\s*=[^>]*?\burl\s*=\s*["']?\s*([^"'\s>]+)"""
+_URL = r"""(?is)(?<![\w-])content\s*=[^>]{0,100}?\burl\s*=\s*["']?\s*([^"'\s>]+)"""
 
 
 def _without_dots(path: Column) -> Column:
