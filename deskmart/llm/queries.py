@@ -58,6 +58,15 @@ def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.scan_documents(table(spark, sf_dir, "documents"), ledger)
 
 
+def secret_ledger_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator of op7 with a ledger that grows: the base rules are scanned first, then all rules, of which the
+    ledger lacks the further ones only."""
+    ledger = secret_ledger.Ledger(spark, new_folder(spark, "ledger"))
+    docs = table(spark, sf_dir, "documents")
+    ledger.update(docs.select(F.col("doc_id").alias("path"), "text"), secret_ledger.BASE)
+    return secret_ledger.scan_documents(docs, ledger)
+
+
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = feistel_shards.assign_shards(table(spark, sf_dir, "documents"), 16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -99,7 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_string_tiling, op2_line_frequency, op3_sparse_suffixes, op4_temperature_mix, op5_fuzzy_lines, op6_bag_minhash,
         op7_secret_ledger, op8_feistel_shards, op9_redirect_groups, op10_quadratic_discriminant,
-        op11_embedding_whitening, op12_fim_frames, op13_term_disclosure, url_mirror_groups)
+        op11_embedding_whitening, op12_fim_frames, op13_term_disclosure, url_mirror_groups, secret_ledger_updates)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_line_frequency": expected.LINE_FREQUENCY,
@@ -108,6 +117,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_secret_ledger": expected.SECRETS,
     "op9_redirect_groups": expected.URL_VERDICTS,
     "url_mirror_groups": expected.MIRROR_VERDICTS,
+    "secret_ledger_updates": expected.SECRETS,
     "op12_fim_frames": expected.FILL_IN_MIDDLE,
     "op13_term_disclosure": expected.PERSONAL_DATA,
 }

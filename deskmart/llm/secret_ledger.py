@@ -76,9 +76,14 @@ class Ledger:
     def scanned(self) -> DataFrame:
         return self._read("scanned", "blob string, kind string, version string")
 
-    def findings(self) -> DataFrame:
+    def findings(self, blobs: DataFrame | None = None) -> DataFrame:
+        """Findings of scanned pairs; only those of ``blobs`` (blob), if given, which are picked before anything is made
+        distinct."""
         found = self._read("findings", "blob string, kind string, version string, start int, end int")
-        return found.distinct().join(self.scanned().distinct(), ["blob", "kind", "version"], "left_semi")
+        done = self.scanned()
+        if blobs is not None:
+            found, done = found.join(blobs, "blob", "left_semi"), done.join(blobs, "blob", "left_semi")
+        return found.distinct().join(done, ["blob", "kind", "version"], "left_semi")
 
     def update(self, contents: DataFrame, rules: tuple[Rule, ...] = RULES) -> None:
         """Scan what is new in ``contents`` (path, text): every historical version is one row."""
@@ -86,9 +91,11 @@ class Ledger:
         addressed = rows.withColumn("blob", F.sha2("text", 256))
         names = [f"{r.kind}/{r.version}" for r in rules]
         rule = F.concat_ws("/", "kind", "version")
-        done = self.scanned().where(rule.isin(names)).groupBy("blob").agg(F.collect_set(rule).alias("done"))
         # one row that holds the blob scans it; (path, blob) is the join key, so copies do not meet in a task
-        holders = (addressed.groupBy("blob").agg(F.min("path").alias("path")).join(done, "blob", "left")
+        held = written(addressed.groupBy("blob").agg(F.min("path").alias("path")), "blobs")
+        done = (self.scanned().where(rule.isin(names)).join(held.select("blob"), "blob", "left_semi")
+                .groupBy("blob").agg(F.collect_set(rule).alias("done")))
+        holders = (held.join(done, "blob", "left")
                    .withColumn("todo", F.array_except(
                        F.array(*map(F.lit, names)),
                        F.coalesce("done", F.expr("cast(array() as array<string>)"))))
@@ -122,11 +129,11 @@ def scan_documents(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RU
     longer than its text.
     """
     ledger.update(docs.select(F.col("doc_id").alias("path"), "text"), rules)
+    rows = docs.select("doc_id", F.sha2(text_of(), 256).alias("blob"))
     wanted = F.array(*(F.lit(f"{r.kind}/{r.version}") for r in rules))
     lists = written(
-        ledger.findings().where(F.array_contains(wanted, F.concat_ws("/", "kind", "version")))
+        ledger.findings(rows.select("blob").distinct()).where(F.array_contains(wanted, F.concat_ws("/", "kind", "version")))
         .groupBy("blob").agg(F.collect_list(F.struct("kind", "start", "end")).alias("found")), "found")
-    rows = docs.select("doc_id", F.sha2(text_of(), 256).alias("blob"))
     found = F.coalesce("found", F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)"))
     base = F.filter(found, lambda f: f["kind"].isin(*(r.kind for r in BASE)))
     count = lambda kind: F.size(F.filter(found, lambda f: f["kind"] == kind)).cast("long")

@@ -15,6 +15,7 @@ from deskmart.llm import (
     bag_minhash, feistel_shards, fuzzy_lines, kernels, line_quality, mixing, qda, redirects,
     secret_ledger, sparse_suffixes, string_tiling, textstats)
 from deskmart.llm.components import connected_components
+from deskmart.session import new_folder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SPACE = re.compile(r"[^\x20\x09-\x0d]+")
@@ -62,11 +63,12 @@ OPERATORS = {
     "near": lambda s, d: bag_minhash.classify_near_duplicates(d),
     "dedup": lambda s, d: bag_minhash.drop_near_duplicates(d),
     "shards": lambda s, d: feistel_shards.assign_shards(d),
+    "secrets": lambda s, d: secret_ledger.scan_documents(d, secret_ledger.Ledger(s, new_folder(s, "ledger"))),
     "scores": lambda s, d: qda.score_documents(d, s.createDataFrame([(1, 1), (2, 0), (2, None), (None, 0)], "doc_id long, quality int")),
     "quality": lambda s, d: qda.keep_quality(d, s.createDataFrame([], "doc_id long, quality int")),
 }
-ONE_PER_ROW = {"lines", "near", "shards", "scores"}
-CLASHES = ("row", "key_a", "key_b", "count", "size", "copies", "tokens", "epoch", "place", "bits", "shard", "score",
+ONE_PER_ROW = {"lines", "near", "shards", "scores", "secrets"}
+CLASHES = ("path", "blob", "found", "row", "key_a", "key_b", "count", "size", "copies", "tokens", "epoch", "place", "bits", "shard", "score",
            "item_id", "no", "print", "class_no", "bag", "times", "_source", "host", "words", "x")
 
 
