@@ -279,7 +279,7 @@ def classify_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) ->
     marks the row that stays. Words are runs of letters and digits in small letters; texts of fewer
     than five words are one shingle. Null and empty texts and texts without words are all equal; null ids sort first, so a
     group with one has a null class_id; of repeated rows that would all stay, each is marked. Further
-    columns are ignored.
+    columns are ignored; texts of any length are read whole, in pieces of bounded size; an empty table gives no rows.
     """
     rows, groups = near_duplicate_groups(docs, similarity)
     keep = groups.groupBy("component").agg(F.min("rep").alias("keep"))
@@ -293,7 +293,12 @@ def classify_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) ->
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row of each group of near duplicates, with all its columns: the one with the least doc_id."""
+    """One row of each group of near duplicates, with all its columns: the one with the least doc_id, null before others
+    and ties broken by the text's key; of rows with equal id and text any one.
+
+    Texts without words, null and empty ones included, are one group. An empty table stays empty; further columns of any
+    name are kept.
+    """
     _, groups = near_duplicate_groups(docs, similarity)
     keep = (groups.groupBy("component").agg(F.min("rep").alias("keep"))
             .select(F.col("keep.doc_id").alias("rep_id"), F.col("keep.key_a").alias("rep_a"), F.col("keep.key_b").alias("rep_b")))

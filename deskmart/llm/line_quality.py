@@ -77,7 +77,8 @@ def judge_documents(docs: DataFrame, host: str = "source", min_docs: int = MIN_D
 
     Counting shuffles hashes, first by (host, text, line), so a line that a third of all rows share
     is summed up in many tasks. Null texts count as empty, null hosts are one host, ids are only
-    passed through; repeated rows are judged alike and all returned.
+    passed through; repeated rows are judged alike and all returned. Further columns are ignored, texts of any length
+    are read whole, ties at a limit are within it, and an empty table gives no rows.
     """
     docs = docs.select("doc_id", _host(host), "text")
     counts = written(base_counts(docs), "counts")

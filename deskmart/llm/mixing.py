@@ -158,7 +158,8 @@ def mix_documents(docs: DataFrame, source: str = "source", target: Target = Targ
     """The rows of ``docs``, with all their columns, as often as ``mix_schedule`` shows them.
 
     A budget cuts a permutation at one place, so each source has full epochs and one last place;
-    texts are read once more and meet only that small table.
+    texts are read once more and meet only that small table. Null sources are one source, null texts have no tokens and
+    null ids are one id; repeated rows are shown as often as they occur; an empty table stays empty.
     """
     rows = written(units(docs, source), "units")
     plan = plan_sources(rows, target)

@@ -128,7 +128,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, shrink: float = 0.1) ->
 
     Scores come from the whole text alone. Null and empty texts are scored as texts without words;
     null ids are held out; repeated rows are scored alike; further columns are ignored. Without
-    labels all scores are equal.
+    labels all scores are equal; an empty table gives no rows.
     """
     vectors = written(document_features(docs), "features")
     model = fit(vectors, labels, shrink)
@@ -144,7 +144,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, shrink: float = 0.1) ->
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, shrink: float = 0.1) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text scores THRESHOLD or more."""
+    """The rows of ``docs``, with all their columns, whose text scores THRESHOLD or more.
+
+    A score of just THRESHOLD stays. Null and empty texts are scored as texts without words, repeated rows alike, whole
+    texts however long; an empty table stays empty; without labels every row stays.
+    """
     model = fit(written(document_features(docs), "features"), labels, shrink)
 
     @F.arrow_udf("double")

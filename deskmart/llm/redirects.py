@@ -112,7 +112,8 @@ def judge_pages(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None
     that only occur as targets are judged by the rules too.
 
     Null urls and urls without ``://`` have no aliases. Repeated rows are all returned; null html
-    declares nothing; null redirects are left out; further columns are ignored.
+    declares nothing; null redirects are left out; further columns are ignored. Of rules of equal length the last by
+    name counts; pages of any length are searched in linear time; an empty table gives no rows.
     """
     url = F.col("url")
     pages = pages.select("page_id", "url", "html")

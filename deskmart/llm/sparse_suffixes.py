@@ -160,7 +160,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     Words are runs of anything but ASCII white space, compared exactly. Null and empty texts and texts
     below PASSAGE words have no passage; null ids come first only where all ids of a class are null; repeated
-    rows are copies of each other; further columns are ignored.
+    rows are copies of each other; further columns are ignored. Texts of any length are read whole, in pieces; an empty
+    table gives no rows.
     """
     rows, windows_ = repeated_windows(docs)
     found = (windows_.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "first_doc"))).alias("found"))

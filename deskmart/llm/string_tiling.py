@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,8 +71,8 @@ def tiles(item: list[int], places: list[int], seeds: list[int]) -> list[tuple[in
     sorted word ``places``. A tile of n words is a run of n - SEED + 1 equal seeds. Searching starts
     with long runs: all runs of the search length whose words are unmarked are found by their
     Karp-Rabin hashes, compared and extended; a match of twice the length restarts the search with its length; else the
-    matches are marked, longest first, where nothing is marked yet; then the length is halved, down
-    to one seed.
+    matches are marked, longest first, of equal ones the first in the item and then in the text, where nothing is
+    marked yet; then the length is halved, down to one seed. The result is that of plain greedy tiling.
     """
     islands, begin = [], 0  # runs of neighbouring places
     for k in range(1, len(places) + 1):
@@ -109,11 +110,17 @@ def tiles(item: list[int], places: list[int], seeds: list[int]) -> list[tuple[in
         if best >= 2 * length:
             length = best
             continue
-        for size, i, p in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            if (n := free(i, p, size - SEED + 1)) == size:
+        queue = [(-size, i, p) for size, i, p in matches]
+        heapq.heapify(queue)
+        while queue:
+            less, i, p = heapq.heappop(queue)
+            n = free(i, p, -less - SEED + 1)
+            if n == -less:
                 found.append((i, p, n))
                 item_marks[i:i + n] = [True] * n
                 text_marks.update(range(p, p + n))
+            elif n >= length + SEED - 1:  # what is left of a match takes its turn by its new length
+                heapq.heappush(queue, (-n, i, p))
         length = length // 2 if length > 1 else 0
     return sorted(found)
 
@@ -159,7 +166,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
     Items of fewer than SEED words are no evidence and never match. Null and empty texts hold
     nothing; null and repeated ids are passed through, every row of an equal text gets the same
-    items; an item_id with several texts is tiled by each; further columns are ignored.
+    items; an item_id with several texts is tiled by each; further columns are ignored; empty tables give no rows.
+    Of equally long matches the one that is first in the item, then in the text, becomes the tile. Texts of any length
+    are read whole; their words are hashed in pieces, and a task holds the seeds that a text shares with an item.
     """
     found = written(contaminated_texts(docs, benchmark, coverage), "contaminated")
     rows = docs.select("doc_id", *text_key())
@@ -167,7 +176,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose texts are not contaminated."""
+    """The rows of ``docs``, with all their columns, whose texts are not contaminated, by the rules of find_leaks.
+
+    Null and empty texts stay; repeated rows stay or go together; without benchmark items all rows stay; an empty table
+    stays empty; further columns of any name are kept.
+    """
     found = written(contaminated_texts(docs, benchmark, coverage).select(*KEY).distinct(), "contaminated")
     return (docs.select(F.struct(*docs.columns).alias("row"), *text_key())
             .join(found, KEY, "left_anti").select("row.*"))

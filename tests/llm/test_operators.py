@@ -152,7 +152,7 @@ def test_string_tiling_finds_reordered_items(spark):
 
 def greedy(item, text, least):
     """Plain greedy string tiling over words."""
-    a, b, out = [0] * len(item), [0] * len(text), 0
+    a, b, out = [0] * len(item), [0] * len(text), []
     while True:
         best = (least - 1, 0, 0)
         for i in range(len(item)):
@@ -162,15 +162,15 @@ def greedy(item, text, least):
                     n += 1
                 best = max(best, (n, -i, -j))
         if best[0] < least:
-            return out
+            return sorted(out)
         n, i, j = best[0], -best[1], -best[2]
-        a[i:i + n], b[j:j + n], out = [1] * n, [1] * n, out + n
+        a[i:i + n], b[j:j + n], out = [1] * n, [1] * n, [*out, (i, j, n)]
 
 
-def test_tiles_cover_as_much_as_plain_greedy_tiling():
+def test_tiles_are_those_of_plain_greedy_tiling():
     rng = random.Random(4)
-    for _ in range(60):
-        item = [rng.randrange(6) for _ in range(rng.randrange(5, 25))]
+    for k in range(300):
+        item = [rng.randrange(2 + k % 5) for _ in range(rng.randrange(5, 25))]
         cuts = [rng.randrange(len(item)) for _ in range(3)]
         text = [x for s in cuts for x in item[s:s + rng.randrange(4, 15)] + [9]]
         seed = lambda w: [hash(tuple(w[k:k + 5])) % (1 << 60) for k in range(len(w) - 4)]
@@ -180,7 +180,34 @@ def test_tiles_cover_as_much_as_plain_greedy_tiling():
         assert all(item[i:i + n] == text[p:p + n] for i, p, n in got)
         marks = [x for i, _, n in got for x in range(i, i + n)]
         assert len(marks) == len(set(marks))
-        assert abs(sum(n for _, _, n in got) - greedy(item, text, 5)) <= 4
+        assert got == greedy(item, text, 5)
+
+
+def test_leaks_match_brute_force(spark):
+    rng = random.Random(12)
+    word = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
+    items = [(k, " ".join(f"B{rng.randrange(25)}é" for _ in range(rng.randrange(3, 40)))) for k in range(12)] + [(12, None), (13, items_of := "one two")]
+    rows = []
+    for k in range(40):
+        pieces = [prose(rng, rng.randrange(5, 30))]
+        for _ in range(rng.randrange(4)):
+            w = (items[rng.randrange(12)][1] or "").split()
+            a = rng.randrange(len(w))
+            pieces.append(" - ".join(w[a:a + rng.randrange(3, 40)]))
+        rng.shuffle(pieces)
+        rows.append((k, "\n".join(pieces), "s"))
+    rows += [(50, rows[1][1], "s"), (51, None, "s"), (52, items_of, "s")]
+    want = []
+    for i, t, _ in rows:
+        text = word.findall((t or "").lower())
+        for k, item in items:
+            w = word.findall((item or "").lower())
+            found = greedy(w, text, 5) if len(w) >= 5 else []
+            if w and sum(n for *_, n in found) / len(w) >= string_tiling.COVERAGE:
+                want.append((i, k, len(w), ",".join(f"{a}:{b}:{n}" for a, b, n in found)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = string_tiling.find_leaks(documents(spark, rows), bench).select("doc_id", "item_id", "item_words", "tiles").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 10
 
 
 def test_passages_match_brute_force(spark, corpus):
