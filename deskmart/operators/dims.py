@@ -14,6 +14,7 @@ from deskmart.operators.ordinals import dense_keys
 from deskmart.schemas import (
     CALENDAR_LOOKAHEAD_DAYS, DEFAULT_SLA_HOURS, PLACEHOLDERS, SLA_HOURS, STAR_TABLES,
 )
+from deskmart.session import new_folder
 
 
 def member(column: str) -> Column:
@@ -26,27 +27,45 @@ def _members(raw: DataFrame, **columns: str) -> DataFrame:
     return raw.select(*(member(source).alias(name) for name, source in columns.items())).distinct()
 
 
+_SETS = {"agent": ("agent_name", "team"), "category": ("category",), "channel": ("channel",), "priority": ("priority",), "first": ()}
+_SET_COLUMNS = ("agent_name", "team", "category", "channel", "priority")
+
+
+def member_sets(raw: DataFrame) -> dict[str, DataFrame]:
+    """The distinct members of all dimensions and the first creation time (``first``), from one pass over the tickets.
+
+    Grouping sets keep the sets apart, so the result is as large as the dimensions, not as their combinations. It
+    is written below the shared folder, where a lost executor cannot take it along.
+    """
+    found = raw.select(*_SET_COLUMNS, "created_at").groupingSets(list(map(list, _SETS.values())), *_SET_COLUMNS).agg(
+        F.min("created_at").alias("created_at"), F.grouping_id().alias("set"))
+    spark = raw.sparkSession
+    path = new_folder(spark, "members")
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+    # a bit of the grouping id is set for each column, from the left, that is not grouped by
+    ids = {name: sum(1 << i for i, c in enumerate(reversed(_SET_COLUMNS)) if c not in columns) for name, columns in _SETS.items()}
+    return {name: found.where(F.col("set") == ids[name]).select(*(columns or ("created_at",))) for name, columns in _SETS.items()}
+
+
 def _conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in STAR_TABLES[table]))
 
 
 @dataclass(frozen=True)
 class Counted:
-    """A keyed dimension, the measured size of its text, and the cached member set behind it."""
+    """A keyed dimension and the measured size of its text."""
 
     table: DataFrame
     bytes: int
-    members: DataFrame
 
 
 def _numbered(members: DataFrame, table: str, key: str, *order: Column) -> Counted:
-    """The set is kept (memory, spilling to disk): measuring it costs nothing extra, because keys
-    and joins then reuse it instead of scanning the tickets again."""
-    members = members.persist()
+    """Members of the written sets, measured and numbered."""
     text = sum((F.octet_length(name) for name, kind in members.dtypes if kind == "string"),
                F.lit(ROW_OVERHEAD))
     rows, size = members.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).head()
-    return Counted(_conform(dense_keys(members, order, key, rows), table), size, members)
+    return Counted(_conform(dense_keys(members, order, key, rows), table), size)
 
 
 def dim_agent(raw: DataFrame) -> Counted:

@@ -27,12 +27,6 @@ class Star:
     priority: DataFrame
     calendar: DataFrame
     as_of: datetime
-    kept: tuple[DataFrame, ...] = ()  # cached member sets of a lazily built star
-
-    def release(self) -> None:
-        """Drop the cached member sets, once the star has been written."""
-        for members in self.kept:
-            members.unpersist()
 
     def tables(self) -> dict[str, DataFrame]:
         """The six tables in their exported layout."""
@@ -98,15 +92,13 @@ def build_star(raw: DataFrame, as_of: datetime) -> Star:
     """Typed tickets to the star. Four member sets are measured; the fact stays lazy, unless a dimension is too
     large to broadcast, which takes a count of its members' rows.
 
-    One pass reduces the tickets to their combinations of members, from which all dimensions follow;
-    the fact is the second and last pass.
+    One pass writes the member sets, from which all dimensions follow; the fact is the second and last pass.
     """
     prepare(raw.sparkSession)
-    combined = raw.groupBy("agent_name", "team", "category", "channel", "priority").agg(
-        F.min("created_at").alias("created_at")).persist()
-    combined.count()  # the member sets below are made side by side and must find it ready
-    counted = side_by_side(raw.sparkSession, [partial(make, combined) for make in (
-        dims.dim_agent, dims.dim_category, dims.dim_channel, dims.dim_priority)])
+    sets = dims.member_sets(raw)
+    counted = side_by_side(raw.sparkSession, [partial(make, sets[name]) for name, make in (
+        ("agent", dims.dim_agent), ("category", dims.dim_category), ("channel", dims.dim_channel),
+        ("priority", dims.dim_priority))])
     agent, category, channel, priority = (c.table for c in counted)
     agents, categories, channels, priorities = (c.bytes for c in counted)
     rows = raw.drop("description").withColumns({
@@ -121,5 +113,4 @@ def build_star(raw: DataFrame, as_of: datetime) -> Star:
     fields = {f.name: f.dataType for f in STAR_TABLES["fact_tickets"]}
     fact = derive_measures(rows, as_of).select(
         *(F.col(name).cast(kind).alias(name) for name, kind in fields.items()), *FACT_SECONDS)
-    return Star(fact, agent, category, channel, priority, dims.dim_calendar(combined, as_of), as_of,
-                (combined, *(c.members for c in counted)))
+    return Star(fact, agent, category, channel, priority, dims.dim_calendar(sets["first"], as_of), as_of)

@@ -160,6 +160,5 @@ def build_tables(tickets: DataFrame, path: str, as_of: datetime, keep: int = 2)
     write_raw(tickets, f"{folder}/raw_tickets")
     star = build_star(read_raw(spark, f"{folder}/raw_tickets"), as_of)
     _write_tables(star, folder)
-    star.release()
     _commit(spark, path, version, keep)
     return read_tables(spark, path, as_of)
