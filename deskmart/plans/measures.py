@@ -15,6 +15,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,6 +90,11 @@ class Measure:
     format: str  # count | hours | rate | score | text
 
 
+# base -> the attribute that its row condition is about, for those that tickets can be grouped by
+_CONDITION_ON = {"open_status": "status", "band_1": "ticket_age_band", "band_3": "ticket_age_band",
+                 "band_7": "ticket_age_band", "band_over_7": "ticket_age_band"}
+
+
 def _count(id_: str, name: str, base: str) -> Measure:
     return Measure(id_, name, (base,), lambda n: n, "count")
 
@@ -217,10 +224,13 @@ def base_cube(star: Star, context: FilterContext | None = None) -> DataFrame:
 
 def evaluate(star: Star, measures: Sequence[str], by: Sequence[str] = (),
              context: FilterContext | None = None, as_of: datetime | None = None,
-             cube: DataFrame | None = None) -> DataFrame:
+             cube: DataFrame | None = None, replace: bool = False) -> DataFrame:
     """One row per combination of ``by`` members with at least one ticket in ``context``.
 
-    ``cube`` is a ``base_cube`` of the same context, which is then rolled up instead of the fact.
+    ``cube`` is a ``base_cube`` of the same context, which is then rolled up instead of the fact. A condition of a
+    measure narrows the row it stands in: open tickets by status are 0 for closed ones. With ``replace`` it
+    takes the place of the row's own member of that attribute, as a filter argument of the measure language does: every
+    status shows all open tickets of the rest of its row. That is a roll-up of the reduced rows, not another pass.
     """
     as_of = as_of or star.as_of
     chosen = [MEASURES[name] for name in measures]
@@ -235,11 +245,11 @@ def evaluate(star: Star, measures: Sequence[str], by: Sequence[str] = (),
         grouped = fact.groupBy(*grouping).agg(*_base_aggregates(bases, as_of))
     else:
         grouped = cube.groupBy(*grouping).agg(*_combined([b for b in bases if b != _DISTINCT_AGENTS]))
-    return _finished(star, grouped, by, chosen, bases, bool(keys))
+    return _finished(star, grouped, by, chosen, bases, bool(keys), replace)
 
 
 def _finished(star: Star, grouped: DataFrame, by: Sequence[str], chosen: Sequence[Measure], bases: Sequence[str],
-              keyed: bool) -> DataFrame:
+              keyed: bool, replace: bool = False) -> DataFrame:
     """Base aggregates by surrogate key to the measures by member."""
     if keyed:
         for dim, key, fact_key in dict.fromkeys(_DIM_OF[name] for name in by if name in _DIM_OF):
@@ -247,6 +257,13 @@ def _finished(star: Star, grouped: DataFrame, by: Sequence[str], chosen: Sequenc
             members = getattr(star, dim).select(F.col(key).alias(fact_key), *wanted)
             grouped = grouped.join(members, fact_key, "left")
         grouped = grouped.groupBy(*by).agg(*_combined(bases))
+    if replace:
+        rolled = {base: [b for b in by if b != _CONDITION_ON[base]] for base in bases if _CONDITION_ON.get(base) in by}
+        for rest in {tuple(r) for r in rolled.values()}:  # one aggregate of the reduced rows for each attribute
+            own = [base for base, r in rolled.items() if tuple(r) == rest]
+            total = grouped.groupBy(*(F.col(r).alias(f"_of_{r}") for r in rest)).agg(*_combined(own))
+            same = [F.col(r).eqNullSafe(F.col(f"_of_{r}")) for r in rest]
+            grouped = grouped.drop(*own).join(total, reduce(and_, same, F.lit(True))).drop(*(f"_of_{r}" for r in rest))
     return grouped.select(
         *by, *(m.formula(*(F.col(b) for b in m.bases)).alias(m.name) for m in chosen))
 

@@ -129,6 +129,19 @@ def test_live_bands_move_with_the_clock(tickets):
     assert reports.live_aging(star, AS_OF + timedelta(days=5)).head()[0] == "3-7 Days"
 
 
+def test_a_replacing_condition_ignores_the_member_of_its_row(tickets):
+    rows = [dict(created_at=AS_OF - timedelta(hours=30 * i), status=s, team=t, agent_name="a", resolved_at=AS_OF if s == "Closed" else None)
+            for i, (s, t) in enumerate([("Open", "x"), ("Open", "y"), ("Pending", "x"), ("Closed", "x"), ("Closed", None)])]
+    star = build_star(tickets(*rows), AS_OF)
+    narrowed = {r[0]: r[1] for r in evaluate(star, ["tickets_open"], ["status"]).collect()}
+    assert narrowed == {"Open": 2, "Pending": 1, "Closed": 0}
+    replaced = evaluate(star, ["tickets_open", "tickets_created"], ["status"], replace=True)
+    assert {tuple(r) for r in replaced.collect()} == {("Open", 3, 2), ("Pending", 3, 1), ("Closed", 3, 2)}
+    by_team = {(r[0], r[1]): r[2] for r in evaluate(star, ["tickets_open"], ["team", "status"], replace=True).collect()}
+    assert by_team == {("x", "Open"): 2, ("x", "Pending"): 2, ("x", "Closed"): 2, ("y", "Open"): 1, ("(Unknown)", "Closed"): 0}
+    assert evaluate(star, ["tickets_open"], ["team"], replace=True).count() == 3
+
+
 def test_open_tickets_answer_every_later_clock(spark, tickets, tmp_path):
     rng = random.Random(8)
     rows = [dict(created_at=None if i % 17 == 0 else AS_OF - timedelta(minutes=rng.randrange(40_000)), priority=rng.choice(["Critical", "Low", None]),

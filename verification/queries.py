@@ -999,6 +999,20 @@ _report("i11_csat_by_category", sql.measures(
 _report("i12_live_aging",
         sql.measures(["total_tickets"], ["live_age_band"], "live_age_band <> '(Resolved)'"),
         lambda star: reports.live_aging(star, AS_OF))
+_REPLACED = {"tickets_open": "status", "band_1_3_days": "ticket_age_band", "band_over_7_days": "ticket_age_band"}
+
+
+@register("g6_replacing_predicates", sql.from_star(
+    "select priority_name, status, ticket_age_band, cast(sum(n) as bigint) as total_tickets, " + ", ".join(
+        f"cast(any_value({m}) as bigint) as {m}" for m in _REPLACED) + " from (select priority_name, status, ticket_age_band, n, " + ", ".join(
+        f"sum({m}) over (partition by priority_name, {'ticket_age_band' if c == 'status' else 'status'}) as {m}" for m, c in _REPLACED.items())
+    + " from (select priority_name, status, ticket_age_band, count(*) as n, " + ", ".join(f"{sql.MEASURE_SQL[m]} as {m}" for m in _REPLACED)
+    + " from fact group by all)) group by all"))
+def g6_replacing_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions that take the place of the row's own status or age band."""
+    return evaluate(star_of(spark, sf_dir), ["total_tickets", *_REPLACED], ["priority_name", "status", "ticket_age_band"], replace=True)
+
+
 # Open tickets at three later clocks, from one written table
 _CLOCKS = ("2024-01-31 00:00:00", "2024-02-01 17:30:00", "2024-02-19 08:15:00")
 _ELAPSED = "date_diff('hour', created_at, cast(clock as timestamp))"
