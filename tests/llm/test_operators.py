@@ -357,10 +357,7 @@ def test_fuzzy_lines_match_brute_force(spark):
     flat = [(i, n, re.sub(r"\d", "0", re.sub(r"[^\w]+|_", " ", x.lower())).strip()) for i, t, _ in rows for n, x in enumerate(t.split("\n"))]
     flat = [x for x in flat if x[2]]
     different = sorted({x for _, _, x in flat})
-    prints = {r["line"]: r["print"] for r in fuzzy_lines.with_prints(
-        spark.createDataFrame([(x,) for x in different], "line string")).collect()}
     links = [(a, b) for a in different for b in different if a < b
-             and bin((prints[a] ^ prints[b]) & (2**64 - 1)).count("1") <= 3
              and 1 - edit_distance(a.split(), b.split()) / max(len(a.split()), len(b.split())) >= 0.8 - 1e-9]
     assert len(links) > 5
     root = components(different, links)
@@ -407,16 +404,6 @@ def test_fuzzy_lines_collect_nothing(spark, monkeypatch):
     assert fuzzy_lines.similar_lines(different, 0.8).count() == 1
 
 
-def test_simhash_is_the_majority_of_word_hashes(spark):
-    lines = [" ".join(f"w{i % m}" for i in range(n)) for n, m in ((1, 1), (3, 3), (40, 40), (127, 5), (128, 128), (700, 9), (40_000, 3))]
-    words = {w for t in lines for w in t.split()}
-    hashes = {r[0]: r[1] for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w")).collect()}
-    for r in fuzzy_lines.with_prints(spark.createDataFrame([(t,) for t in lines], "line string")).collect():
-        count = collections.Counter(r["line"].split())
-        bits = [sum(n for w, n in count.items() if hashes[w] >> b & 1) * 2 > sum(count.values()) for b in range(64)]
-        assert r["print"] & (2**64 - 1) == sum(1 << b for b in range(64) if bits[b])
-
-
 def test_components(spark):
     rng = random.Random(10)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)] + [(k, k + 1) for k in range(400, 460)] + [(500, k) for k in range(501, 560)]
