@@ -35,8 +35,12 @@ _RANK = ("cast(timestampdiff(MICROSECOND, sec, ts) as decimal(6,0)) * 1000000000
          " + event_id")
 
 
+def _opens_ticket() -> Column:
+    return F.col("event_type").isin(*TICKET_EVENTS)
+
+
 def _next_times(events: DataFrame) -> DataFrame:
-    """Per (user, second): the last click/purchase inside it and the next second holding one.
+    """Per (user, second) with a ticket: the last click/purchase inside it and the next second holding one.
 
     A plain ``min() over (partition by user order by ts ...)`` puts every event of a user into one
     task. Only the second of the following event matters, so events are first reduced to one row per
@@ -44,10 +48,11 @@ def _next_times(events: DataFrame) -> DataFrame:
     the first one of a later day, found among one row per user and day.
     """
     def last(kind: str) -> Column:
-        return F.max(F.when(F.col("event_type") == kind, F.col("rank")))
+        return F.max(F.when(F.col("event_type") == kind, F.expr(_RANK)))
 
     per_second = events.groupBy(*_KEY).agg(
-        last("click").alias("last_click"), last("purchase").alias("last_purchase")
+        last("click").alias("last_click"), last("purchase").alias("last_purchase"),
+        F.bool_or(_opens_ticket()).alias("asked")
     ).withColumn("day", F.to_date("sec"))
     click = F.when(F.col("last_click").isNotNull(), F.col("sec"))
     purchase = F.when(F.col("last_purchase").isNotNull(), F.col("sec"))
@@ -61,7 +66,7 @@ def _next_times(events: DataFrame) -> DataFrame:
         Window.unboundedPreceding, -1)
     return per_second.withColumns({
         "later_click": F.min(click).over(later), "later_purchase": F.min(purchase).over(later),
-    }).join(per_day, ["user", "named", "day"], "left").select(
+    }).where("asked").join(per_day, ["user", "named", "day"], "left").select(
         *_KEY, "last_click", "last_purchase",
         F.coalesce("later_click", "next_click").alias("later_click"),
         F.coalesce("later_purchase", "next_purchase").alias("later_purchase"))
@@ -75,22 +80,23 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, schema in _SCHEMAS.items())
     events = events.withColumns({
         "sec": to_second(F.col("ts")), "user": F.coalesce("user_id", F.lit(0)),
-        "named": F.isnotnull("user_id")}).withColumn("rank", F.expr(_RANK))
-    tickets = spread_small(events.where(F.col("event_type").isin(*TICKET_EVENTS)))
+        "named": F.isnotnull("user_id")})
+    tickets = spread_small(events.where(_opens_ticket()))
     # The remainders bound these keys, so at most 15 suppliers and 99 parts can ever match.
     supplier = F.broadcast(supplier.where("s_suppkey between -7 and 7"))
     part = F.broadcast(part.where("p_partkey between -49 and 49"))
     joined = (
         tickets
+        .join(customer, F.expr("c_custkey = user_id"), "left")
+        # plans without any time column drop this join altogether
+        .join(_next_times(events), list(_KEY), "left")
+        # small tables last, so that the shuffles do not carry their names
         .join(supplier, F.expr("s_suppkey = user_id % 8"), "left")
         .join(nation, F.expr("n_nationkey = s_nationkey"), "left")
-        .join(customer, F.expr("c_custkey = user_id"), "left")
-        .join(part, F.expr("p_partkey = event_id % 50"), "left")
-        # last, so that plans without any time column drop this join altogether
-        .join(_next_times(events), list(_KEY), "left"))
+        .join(part, F.expr("p_partkey = event_id % 50"), "left"))
     timed = joined.selectExpr(
-        "*", "case when last_click > rank then sec else later_click end as click",
-        "case when last_purchase > rank then sec else later_purchase end as purchase")
+        "*", f"case when last_click > {_RANK} then sec else later_click end as click",
+        f"case when last_purchase > {_RANK} then sec else later_purchase end as purchase")
     return timed.selectExpr("event_id", *_MESSY_COLUMNS)
 
 

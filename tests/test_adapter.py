@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from deskmart.sources.ticket_adapter import raw_tickets
+from verification import queries
 
 START = datetime(2024, 1, 1)
 
@@ -64,3 +65,21 @@ def test_next_events_against_brute_force(spark, tmp_path, spread):
         assert click == text(want[event_id][0])
         if event_id % 499:
             assert purchase == text(want[event_id][1])
+
+
+def test_tickets_are_computed_once_for_all_layouts(spark, tmp_path, monkeypatch):
+    write_tables(tmp_path, [(i, START + timedelta(hours=i), 1, "error") for i in range(12)])
+    given, write = [], queries._write_csvs
+    monkeypatch.setattr(queries, "_write_csvs", lambda tickets, folder: given.append(tickets) or write(tickets, folder))
+    assert queries.a4_lineage(spark, str(tmp_path)).collect() == [(12, 12)]
+    plan = given[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "parquet" in plan
+    assert sorted(given[0].collect(), key=str) == sorted(raw_tickets(spark, str(tmp_path)).collect(), key=str)
+
+
+def test_shuffles_carry_no_names(spark, tmp_path):
+    """Small tables are joined behind all shuffles of the tickets."""
+    write_tables(tmp_path, [(1, START, 1, "error")])
+    plan = raw_tickets(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert [any(k in j for k in ("p_partkey", "n_nationkey", "s_suppkey")) for j in joins[:4]] == [True, True, True, False]

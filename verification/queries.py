@@ -108,6 +108,13 @@ _SYNONYM_HEADERS = {
 }
 
 
+def _stored_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter's tickets, written once for all layouts that are made of them."""
+    tickets = raw_tickets(spark, sf_dir)
+    folder = _once(spark, sf_dir, "tickets", tickets.write.parquet)
+    return spark.read.schema(tickets.schema).parquet(folder)
+
+
 def _write_csvs(tickets: DataFrame, folder: str) -> None:
     canonical = tickets.where("event_id % 2 = 0")
     synonyms = tickets.where("event_id % 2 = 1").select(
@@ -119,7 +126,7 @@ def _write_csvs(tickets: DataFrame, folder: str) -> None:
 
 def ingested(spark: SparkSession, sf_dir: str) -> csv_ingest.Ingested:
     folder = _once(spark, sf_dir, "csv", lambda path: _write_csvs(
-        raw_tickets(spark, sf_dir), path))
+        _stored_tickets(spark, sf_dir), path))
     return csv_ingest.ingest(spark, folder)
 
 
@@ -183,9 +190,10 @@ def a1_hidden_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         files = spark._jvm.org.apache.hadoop.fs
         system = files.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
         system.mkdirs(files.Path(path))
+        tickets = _stored_tickets(spark, sf_dir)
         for i, (name, columns) in enumerate(zip(_NUMBERED, _NUMBERED_COLUMNS)):
             part = new_folder(spark, "part")
-            (raw_tickets(spark, sf_dir).where(f"event_id % 6 = {i}").select(*(F.col(c).alias(h) for c, h in columns.items()))
+            (tickets.where(f"event_id % 6 = {i}").select(*(F.col(c).alias(h) for c, h in columns.items()))
              .write.options(**tables.CSV_OUT).csv(part))
             written = [f.getPath() for f in system.listStatus(files.Path(part)) if f.getPath().getName().endswith(".csv")]
             for k, file in enumerate(written):
