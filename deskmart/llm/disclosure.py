@@ -120,8 +120,8 @@ def terms_outside(holders: DataFrame) -> DataFrame:
 
 def _disclosed(together: Column, term: Column, value: Column, total: int) -> Column:
     """Pointwise mutual information of a term and a value as a share of the value's information: 1 if all documents with the
-    term hold the value."""
-    return 1 - F.ln(term / together) / F.ln(F.lit(float(total)) / value)
+    term hold the value, null for a value that all documents hold, which has none."""
+    return 1 - F.ln(term / together) / F.nullif(F.ln(F.lit(float(total)) / value), F.lit(0.0))
 
 
 def _set_of_texts() -> list[Column]:
@@ -136,7 +136,9 @@ def revealing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCL
     ``found`` is the written result of find_values. A value is protected if it stands in ``least`` documents or more and in
     at most the share ``public`` of all. A term outside all base spans reveals it if both stand together in
     ``least`` documents and the term gives ``disclosure`` or more of the value's information away: PMI / -log p(value). It is
-    generalised to its first three characters where that form reveals none of these values, else removed.
+    generalised to its first three characters where that form reveals none of these values, else removed. With a
+    share of 1 values of any frequency are protected; the work is then still in proportion to the values and terms that
+    stand in one text together.
 
     Values that stand in the same texts are one class, and so are terms; only classes meet, and only where the
     counts allow disclosure, so a list of addresses that is kept in several versions does not pair each address with each
@@ -175,12 +177,14 @@ def revealing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCL
                       & (_disclosed(F.col("together"), F.col("documents"), F.col("df"), total) >= disclosure)))
     reveals = written(reveals, "reveals")
 
-    flagged = (held.select(*KEY, *value, "df").join(reveals.select(*value, *term), value).join(grouped, [*KEY, *term])
+    # values meet terms by text: a value in many texts, with many terms of its own, would otherwise pair all of them
+    flagged = (held.join(grouped, KEY).where(F.col("documents") <= F.col("reach")).join(reveals.select(*value, *term), [*value, *term])
                .select(*KEY, *value, "df", "code", "general", "shortens").distinct())
     flagged = written(flagged, "flagged")
     forms = flagged.where("shortens").select(*value, "df", "general").distinct()
     within = terms.select(*KEY, "general").distinct()
-    open_forms = (forms.join(held.select(*KEY, "copies", *value), value).join(within, [*KEY, "general"])
+    open_forms = (held.select(*KEY, "copies", *value).join(forms.select(*value).distinct(), value, "left_semi")
+                  .join(within, KEY).join(forms, [*value, "general"])
                   .groupBy(*value, "df", "general").agg(F.sum("copies").alias("together"))
                   .join(counts.withColumnRenamed("code", "general"), "general")
                   .select(*value, "general", (_disclosed(F.col("together"), F.col("documents"), F.col("df"), total)

@@ -206,3 +206,5 @@ select doc_id, coalesce(n_email, 0)::bigint n_email, coalesce(n_ip, 0)::bigint n
        coalesce(n_phone, 0)::bigint n_phone, sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans
 from d left join j using (rid)
 """
+# Values of any frequency; one in all documents holds no information
+COMMON_VALUES = PERSONAL_DATA.replace("count(*) <= 0.01 * n", "count(*) <= n").replace("/ ln(n / p.df)", "/ nullif(ln(n / p.df), 0)")
