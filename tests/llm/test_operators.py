@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -404,6 +405,29 @@ def test_fuzzy_lines_collect_nothing(spark, monkeypatch):
     assert fuzzy_lines.similar_lines(different, 0.8).count() == 1
 
 
+def test_fuzzy_lines_free_their_disk(spark, monkeypatch):
+    """Shuffles of a step go when it ends, and texts of lines when they are compared; the session's setting stays."""
+    folders, name = {}, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    new = fuzzy_lines.new_folder
+    monkeypatch.setattr(fuzzy_lines, "new_folder", lambda s, purpose: folders.setdefault(purpose, new(s, purpose)))
+    rng, before = random.Random(4), spark.conf.get(name)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(40)) for _ in range(300)]
+    got = fuzzy_lines.classify_lines(documents(spark, [(i, t + "\n" + t + " more", "s") for i, t in enumerate(texts)]))
+    stored = {p: sum(f.stat().st_size for f in pathlib.Path(folders[p]).rglob("*.parquet")) for p in folders}
+    assert stored["texts"] < 5_000 and stored["once"] < 5_000 and stored["lines"] > 5_000
+    assert spark.conf.get(name) == before and {r["links"] for r in got.collect()} == {1}
+
+
+def test_fuzzy_lines_with_repeated_word_pairs(spark):
+    """Where a pair of words stands in a prefix twice, one shared pair is enough; longer lines must share two."""
+    lines = ["aa bb aa bb aa", "aa bb aa bb cc", "x1y longest words y z", "x1y longest words y q", "one two three", "one two four"]
+    got = {r["doc_id"]: r["links"] for r in fuzzy_lines.classify_lines(documents(spark, [(i, x, "s") for i, x in enumerate(lines)])).collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 3: 1, 4: 0, 5: 0}
+    prefix = fuzzy_lines.with_prefix(spark.createDataFrame(list(enumerate(lines[:4])), "no long, line string"), 0.8)
+    assert [(r["need"], len(r["prefix"])) for r in prefix.orderBy("no").collect()][2:] == [(2, 4), (2, 4)]
+    assert [r["need"] for r in prefix.orderBy("no").collect()][0] == 1
+
+
 def test_components(spark):
     rng = random.Random(10)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)] + [(k, k + 1) for k in range(400, 460)] + [(500, k) for k in range(501, 560)]
