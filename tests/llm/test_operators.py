@@ -428,6 +428,42 @@ def test_fuzzy_lines_with_repeated_word_pairs(spark):
     assert [r["need"] for r in prefix.orderBy("no").collect()][0] == 1
 
 
+def test_fuzzy_lines_count_a_crowd_without_its_pairs(spark):
+    """Copies of a line are counted by their distance to its middle; pairs beyond that are compared one by one."""
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 8)))
+    lines = []
+    for n, copies in ((40, 70), (300, 8)):
+        base = [word() for _ in range(n)]
+        for k in range(copies):
+            w = list(base)
+            for _ in range(k % 4 if k % 10 else n // 6):
+                at = rng.randrange(len(w))
+                w[at:at + 1] = rng.choice(([word()], [], [w[at], word()]))
+            lines.append(" ".join(w))
+    lines = sorted(set(lines))
+    links = [(a, b) for a in lines for b in lines if a < b and abs(len(a.split()) - len(b.split())) < 70
+             and 1 - edit_distance(a.split(), b.split()) / max(len(a.split()), len(b.split())) >= 0.8 - 1e-9]
+    degree = collections.Counter(x for pair in links for x in pair)
+    found = fuzzy_lines.similar_lines(spark.createDataFrame(list(enumerate(lines)), "no long, line string"), 0.8)
+    assert len(links) > 1_500 and found.count() < len(links) / 3
+    got = fuzzy_lines.classify_lines(documents(spark, [(i, x, "s") for i, x in enumerate(lines)])).collect()
+    assert {r["doc_id"]: r["links"] for r in got} == {i: degree[x] for i, x in enumerate(lines)}
+    assert len({r["class_doc"] for r in got}) == len(set(components(lines, links).values()))
+
+
+def test_fuzzy_lines_pass_on_lines_that_share_pairs_in_reach(spark):
+    """Word pairs shared at far places, or with lines of other lengths, do not make a line a candidate."""
+    rng = random.Random(29)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    fill = lambda n: [word() for _ in range(n)]
+    shared = ["longestofwords", "sharedbytwolines", "andathirdlongword"]
+    lines = [shared + fill(40), fill(40) + shared, fill(2) + shared + fill(12), *[["alike"] + shared + fill(30)] * 2]
+    lines[-1] = lines[-1][:-1] + ["other"]
+    found = fuzzy_lines.shared_keys(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(lines)], "no long, line string"), 0.8)
+    assert {r["no"] for r in found.collect()} == {3, 4}
+
+
 def test_components(spark):
     rng = random.Random(10)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)] + [(k, k + 1) for k in range(400, 460)] + [(500, k) for k in range(501, 560)]
